@@ -54,3 +54,34 @@ RIDES_BY_WEEKEND = f"""WITH {TRIPS_CTE},
 {dropoff_sql()}
 SELECT CAST(SUM(count_trips_window_30m_dropoff_zip) AS BIGINT) AS num_rides, dropoff_is_weekend
 FROM dropoff WHERE dropoff_is_weekend IS NOT NULL GROUP BY dropoff_is_weekend"""
+
+
+def merged_sql(kind: str, name: str) -> str:
+    """Feature table after create on [Jan 1, Jan 16) and a keyed merge of [Jan 16, Jan 31)."""
+    fn = pickup_sql if kind == "pickup" else dropoff_sql
+    return f"""{fn(JAN_START, MID_JAN, name + '_a')},
+{fn(MID_JAN, JAN_END, name + '_b')},
+{name} AS (
+  SELECT * FROM {name}_a a
+  WHERE NOT EXISTS (SELECT 1 FROM {name}_b b WHERE b.zip = a.zip AND b.ts = a.ts)
+  UNION ALL SELECT * FROM {name}_b)"""
+
+
+ROUNDED_CTE = """taxi_data AS (
+  SELECT fare_amount, trip_distance, pickup_zip, dropoff_zip,
+         CAST(((epoch_us(tpep_pickup_datetime) + 899999999) // 900000000) * 900 AS INTEGER) AS rounded_pickup_datetime,
+         CAST(((epoch_us(tpep_dropoff_datetime) + 1799999999) // 1800000000) * 1800 AS INTEGER) AS rounded_dropoff_datetime
+  FROM trips)"""
+
+FEATURE_UPSERT = f"WITH {TRIPS_CTE},\n{merged_sql('pickup', 'pk')}\nSELECT * FROM pk"
+TAXI_ROUNDED = f"WITH {TRIPS_CTE},\n{ROUNDED_CTE}\nSELECT * FROM taxi_data"
+TRAINING_SET = f"""WITH {TRIPS_CTE},
+{ROUNDED_CTE},
+{merged_sql('pickup', 'pk')},
+{merged_sql('dropoff', 'dk')}
+SELECT t.fare_amount, t.trip_distance, t.pickup_zip, t.dropoff_zip,
+       p.mean_fare_window_1h_pickup_zip, p.count_trips_window_1h_pickup_zip,
+       d.count_trips_window_30m_dropoff_zip, d.dropoff_is_weekend
+FROM taxi_data t
+LEFT JOIN pk p ON p.zip = t.pickup_zip AND p.ts = t.rounded_pickup_datetime
+LEFT JOIN dk d ON d.zip = t.dropoff_zip AND d.ts = t.rounded_dropoff_datetime"""
