@@ -82,7 +82,7 @@ def upsert_partitioned(
     touched = [tuple(r) for r in batch.select(*partition_columns).distinct().collect()]
     if not touched:
         return
-    existing = spark.read.parquet(path)
+    existing = spark.read.schema(batch.schema).parquet(path)
     if len(partition_columns) == 1:
         pruned = existing.where(F.col(partition_columns[0]).isin([t[0] for t in touched]))
     else:
