@@ -40,11 +40,21 @@ def epoch_seconds(c: Column | str) -> Column:
     return F.unix_timestamp(c if isinstance(c, Column) else F.col(c))
 
 
+def ntz_epoch_micros(c: Column) -> Column:
+    """Epoch microseconds of a UTC wall-clock TIMESTAMP_NTZ, independent of the session zone.
+
+    ``unix_timestamp`` reads NTZ as UTC (whole seconds); the microseconds of the
+    second come from ``extract(SECOND ...)``, which is zone-free on NTZ.
+    """
+    frac = (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)
+    return F.unix_timestamp(c).cast("long") * F.lit(1_000_000) + frac
+
+
 def epoch_micros(df: DataFrame, name: str) -> Column:
     """Exact epoch microseconds (integer arithmetic, no float rounding)."""
     dt = _dtype(df, name)
     if isinstance(dt, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col(name))
+        return ntz_epoch_micros(F.col(name))
     return F.unix_micros(F.col(name))
 
 
@@ -76,8 +86,14 @@ def parse_timestamp(c: Column | str, fmt: str | None = None) -> Column:
 
 
 def month_label(c: Column | str) -> Column:
-    """DT6: "YYYY-MM" label of a timestamp."""
-    return F.date_format(c, MONTH_FORMAT)
+    """DT6: "YYYY-MM" label of a timestamp (its calendar date in the session zone; for NTZ
+    the wall-clock date, zone-free)."""
+    return F.date_format(F.to_date(c), MONTH_FORMAT)
+
+
+def month_label_of_epoch(seconds: Column) -> Column:
+    """DT6 for epoch seconds: the UTC calendar month, with no time-zone conversion at all."""
+    return F.date_format(F.date_from_unix_date(F.floor(seconds / F.lit(86400)).cast("int")), MONTH_FORMAT)
 
 
 def is_weekend_in(ntz_utc: Column, tz: str = NEW_YORK) -> Column:

@@ -23,7 +23,7 @@ from lakelet.functions.timefns import (
     epoch_seconds,
     is_weekend_in,
     month_label,
-    ntz_from_epoch_seconds,
+    month_label_of_epoch,
 )
 from lakelet.operators.filters import filter_by_ts
 
@@ -128,11 +128,10 @@ def pickup_features(
             (F.col("sum_value") / F.col("n_value")).alias("mean_fare"),
             F.col("n_rows").alias("n"),
         )
-    end_ntz = ntz_from_epoch_seconds(F.col("end_s"))
     return agg.select(
         F.col("pickup_zip").alias("zip"),
         F.col("end_s").cast("int").alias("ts"),
-        month_label(end_ntz).alias("yyyy_mm"),
+        month_label_of_epoch(F.col("end_s")).alias("yyyy_mm"),
         F.col("mean_fare").cast("float").alias("mean_fare_window_1h_pickup_zip"),
         F.col("n").cast("int").alias("count_trips_window_1h_pickup_zip"),
     )

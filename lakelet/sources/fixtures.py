@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelet.functions.timefns import ntz_epoch_micros
 from lakelet.sources.tables import sf_table
 
 # Fixed values of the fixture mapping.
@@ -102,7 +103,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = sf_table(spark, sf_dir, "events")
-    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    us = ntz_epoch_micros(F.col("ts"))
     return ev.select(
         F.col("event_id").cast("string").alias("device_id"),
         F.col("user_id").cast("string").alias("mrn"),

@@ -47,6 +47,7 @@ _EVENTS_SCHEMA = T.StructType(
         T.StructField("rows_seen", T.LongType()),
         T.StructField("rows_dropped", T.LongType()),
         T.StructField("metrics_json", T.StringType()),
+        T.StructField("duration_json", T.StringType()),
         T.StructField("logged_at", T.TimestampType()),
     ]
 )
@@ -178,6 +179,7 @@ class Pipeline:
                     int(metrics["rows_seen"]) if metrics.get("rows_seen") is not None else None,
                     dropped if metrics else None,
                     json.dumps(metrics) if metrics else None,
+                    json.dumps(p.get("durationMs") or {}),
                     now,
                 )
             )
