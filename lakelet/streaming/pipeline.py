@@ -20,6 +20,11 @@ Kinds of dataset:
 
 Every stream runs with ``trigger(availableNow=True)``: it processes what has
 arrived, then stops; the next run resumes from the checkpoint.
+
+State (stream-stream join buffers, aggregate groups) goes to the RocksDB state
+store with changelog checkpointing unless the session chose a provider: state is
+kept off the JVM heap and each commit uploads only the changes.  The provider and
+the number of state partitions are fixed by a checkpoint's first run.
 """
 
 from __future__ import annotations
@@ -36,6 +41,9 @@ from pyspark.sql import types as T
 from lakelet.operators.filters import Rule, apply_rules
 from lakelet.store.feature_store import upsert_partitioned
 
+_HDFS_STATE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+_ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _EVENTS_SCHEMA = T.StructType(
     [
         T.StructField("pipeline", T.StringType()),
@@ -102,9 +110,14 @@ class Pipeline:
     # ---- running ---------------------------------------------------------
     def run(self, only: list[str] | None = None) -> dict[str, int]:
         """Run every dataset (or ``only`` some) in declaration order; returns batches per dataset."""
-        self.spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+        conf = self.spark.conf
+        conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+        if conf.get("spark.sql.streaming.stateStore.providerClass", _HDFS_STATE) == _HDFS_STATE:
+            conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB_STATE)
+            conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         done = {}
+        log: list = []
         for name in self.order:
             if only and name not in only:
                 continue
@@ -135,7 +148,9 @@ class Pipeline:
             q.awaitTermination()
             if q.exception():
                 raise q.exception()
-            done[name] = self._log(name, run_id, q.recentProgress, obs_name)
+            done[name] = self._log(log, name, run_id, q.recentProgress, obs_name)
+        if log:
+            self.spark.createDataFrame(log, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)
         return done
 
     def _start_aggregate(self, d: Dataset, df: DataFrame):
@@ -161,8 +176,8 @@ class Pipeline:
             .start()
         )
 
-    def _log(self, name: str, run_id: str, progress: list, obs_name: str) -> int:
-        rows = []
+    def _log(self, rows: list, name: str, run_id: str, progress: list, obs_name: str) -> int:
+        n0 = len(rows)
         now = datetime.now(timezone.utc)
         for p in progress:
             p = json.loads(p.json) if hasattr(p, "json") else p
@@ -183,6 +198,4 @@ class Pipeline:
                     now,
                 )
             )
-        if rows:
-            self.spark.createDataFrame(rows, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)
-        return len(rows)
+        return len(rows) - n0
