@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelet.operators.joins import fits_broadcast
 from lakelet.session import shared_dir
 
 _META_SCHEMA = T.StructType(
@@ -41,10 +42,6 @@ _META_SCHEMA = T.StructType(
     ]
 )
 
-# Rough bytes per value, used only to bound the size of a lookup side for broadcast.
-_WIDTH = {T.StringType: 48, T.BinaryType: 48}
-
-
 class DuplicateKeyError(ValueError):
     pass
 
@@ -251,12 +248,7 @@ class FeatureStore:
         side = self.spark.read.parquet(spec["path"]).select(
             *[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *lookup.feature_names
         )
-        schema = T.StructType.fromJson(json.loads(spec["schema_json"]))
-        width = 0
-        for c in keys + list(lookup.feature_names):
-            width += _WIDTH.get(type(schema[c].dataType), 8)
-        threshold = _broadcast_threshold(self.spark)
-        if spec["row_count"] is not None and threshold > 0 and spec["row_count"] * width <= threshold:
+        if fits_broadcast(self.spark, spec["row_count"], side.schema):
             # size proven from the table's recorded row count
             side = F.broadcast(side)
         return side
@@ -289,16 +281,3 @@ class FeatureStore:
         """ML1: input columns + looked-up features; ``load_df()`` drops the excluded columns."""
         return TrainingSet(self.lookup(df, feature_lookups), list(feature_lookups), label, list(exclude_columns or []))
 
-
-def _broadcast_threshold(spark: SparkSession) -> int:
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    v = v.strip().lower()
-    mult = 1
-    for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("b", 1), ("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30)):
-        if v.endswith(suffix):
-            v, mult = v[: -len(suffix)], m
-            break
-    try:
-        return int(float(v) * mult)
-    except ValueError:
-        return 10485760

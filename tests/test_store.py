@@ -60,7 +60,17 @@ def test_duplicate_keys_refused(spark):
     assert [r.v for r in st.read_table("d2").collect()] == [1.0]
 
 
-def test_lookup_keeps_every_row_and_misses_are_null(spark):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_lookup_keeps_every_row_and_misses_are_null(spark, threshold):
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        _lookup_case(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def _lookup_case(spark):
     st = _store(spark)
     feats = spark.createDataFrame([(1, 100, "2024-01", 7.0), (2, 100, "2024-01", 8.0)], SCHEMA)
     st.create_table("f", ["zip", "ts"], feats, "yyyy_mm")
@@ -85,3 +95,13 @@ def test_search_and_overwrite(spark):
     with pytest.raises(ValueError):
         st.create_table(name, ["zip", "ts"], df, "yyyy_mm")
     assert st.read_table(name).where(F.col("zip") == 9).count() == 1
+
+
+def test_broadcast_only_under_proven_bound(spark):
+    from lakelet.operators.joins import estimated_row_bytes, fits_broadcast
+
+    schema = spark.createDataFrame([], SCHEMA).schema
+    assert estimated_row_bytes(schema) > 0
+    assert not fits_broadcast(spark, None, schema)
+    assert fits_broadcast(spark, 10, schema)
+    assert not fits_broadcast(spark, 10**9, schema)

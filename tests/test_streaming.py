@@ -2,6 +2,7 @@
 
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -89,7 +90,18 @@ def test_vitals_stream_restarts_equal_batch(spark):
     assert (tot.s, tot.d) == (5, 1)
 
 
-def test_sales_left_join_not_retroactive(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_sales_left_join_not_retroactive(spark, broadcast):
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if not broadcast:  # force the salted shuffle join
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _sales_left_join_not_retroactive(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def _sales_left_join_not_retroactive(spark):
     run = new_run_dir(spark, "test-sales")
     src = f"{run}/src"
     cust_schema = (
