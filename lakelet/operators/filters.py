@@ -20,6 +20,11 @@ def filter_by_ts(df: DataFrame, ts_column: str | None, start=None, end=None) ->
     return df
 
 
+def sample_range(df: DataFrame, ts_column: str, start=None, end=None, fraction: float = 0.1, seed: int | None = None) -> DataFrame:
+    """ML12: a random subsample of the rows inside ``[start, end)`` (Bernoulli per row, no shuffle)."""
+    return filter_by_ts(df, ts_column, start, end).sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
 @dataclass(frozen=True)
 class Rule:
     """``CONSTRAINT name EXPECT (predicate) ON VIOLATION DROP ROW``.

@@ -12,7 +12,7 @@ aggregates, so skew on the key does not reach the shuffle.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,20 +101,42 @@ def tumbling_window_agg(df: DataFrame, key: str, ts: str, size: str) -> DataFram
     )
 
 
+def _read_range(df, ts_column, start_date, end_date, size_minutes, complete_windows):
+    """Rows to aggregate.  By default exactly ``[start, end)``, so windows at the edges
+    hold partial counts (the reference's behaviour).  With ``complete_windows`` the read
+    starts one window length earlier and only windows ending in ``(start, end]`` are
+    kept: every kept window is complete, so adjacent ranges merge without overlap."""
+    if complete_windows and ts_column and start_date is not None:
+        start_date = start_date - timedelta(minutes=size_minutes)
+    return filter_by_ts(df, ts_column, start_date, end_date)
+
+
+def _keep_complete(out, start_date, end_date, complete_windows):
+    if not complete_windows:
+        return out
+    if start_date is not None:
+        out = out.where(F.col("ts") > F.lit(int(start_date.replace(tzinfo=timezone.utc).timestamp())))
+    if end_date is not None:
+        out = out.where(F.col("ts") <= F.lit(int(end_date.replace(tzinfo=timezone.utc).timestamp())))
+    return out
+
+
 def pickup_features(
     df: DataFrame,
     ts_column: str | None = "tpep_pickup_datetime",
     start_date: datetime | None = None,
     end_date: datetime | None = None,
     method: str = "bins",
+    complete_windows: bool = False,
 ) -> DataFrame:
     """TW5: pickup feature group -- 1 hour windows sliding every 15 minutes, per pickup zip.
 
     Output ``zip, ts (INT epoch s of window end), yyyy_mm, mean_fare_window_1h_pickup_zip
     (FLOAT), count_trips_window_1h_pickup_zip (INT)``.  ``method="window"`` uses Spark's
-    own sliding ``window`` (row expansion) and gives the same rows.
+    own sliding ``window`` (row expansion) and gives the same rows.  Range bounds are
+    UTC wall-clock times.
     """
-    df = filter_by_ts(df, ts_column, start_date, end_date)
+    df = _read_range(df, ts_column, start_date, end_date, 60, complete_windows)
     if method == "window":
         agg = (
             df.groupBy("pickup_zip", F.window(as_utc_ntz(df, "tpep_pickup_datetime"), "1 hour", "15 minutes").alias("w"))
@@ -128,13 +150,14 @@ def pickup_features(
             (F.col("sum_value") / F.col("n_value")).alias("mean_fare"),
             F.col("n_rows").alias("n"),
         )
-    return agg.select(
+    out = agg.select(
         F.col("pickup_zip").alias("zip"),
         F.col("end_s").cast("int").alias("ts"),
         month_label_of_epoch(F.col("end_s")).alias("yyyy_mm"),
         F.col("mean_fare").cast("float").alias("mean_fare_window_1h_pickup_zip"),
         F.col("n").cast("int").alias("count_trips_window_1h_pickup_zip"),
     )
+    return _keep_complete(out, start_date, end_date, complete_windows)
 
 
 def dropoff_features(
@@ -142,18 +165,20 @@ def dropoff_features(
     ts_column: str | None = "tpep_dropoff_datetime",
     start_date: datetime | None = None,
     end_date: datetime | None = None,
+    complete_windows: bool = False,
 ) -> DataFrame:
     """TW6: drop-off feature group -- 30 minute tumbling windows per drop-off zip.
 
     Output ``zip, ts, yyyy_mm, count_trips_window_30m_dropoff_zip (INT),
     dropoff_is_weekend (INT, window end on Sat/Sun in New York)``.
     """
-    df = filter_by_ts(df, ts_column, start_date, end_date)
+    df = _read_range(df, ts_column, start_date, end_date, 30, complete_windows)
     agg = tumbling_window_agg(df, "dropoff_zip", "tpep_dropoff_datetime", "30 minutes")
-    return agg.select(
+    out = agg.select(
         F.col("dropoff_zip").alias("zip"),
         epoch_seconds(F.col("window_end")).cast("int").alias("ts"),
         month_label(F.col("window_end")).alias("yyyy_mm"),
         F.col("n_rows").cast("int").alias("count_trips_window_30m_dropoff_zip"),
         is_weekend_in(F.col("window_end")).alias("dropoff_is_weekend"),
     )
+    return _keep_complete(out, start_date, end_date, complete_windows)

@@ -44,6 +44,16 @@ from lakelet.store.feature_store import upsert_partitioned
 _HDFS_STATE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+_DATASETS_SCHEMA = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("comment", T.StringType()),
+        T.StructField("rules", T.StringType()),
+        T.StructField("path", T.StringType()),
+    ]
+)
+
 _EVENTS_SCHEMA = T.StructType(
     [
         T.StructField("pipeline", T.StringType()),
@@ -95,6 +105,14 @@ class Pipeline:
     def events_path(self) -> str:
         return f"{self.storage}/system/events"
 
+    @property
+    def datasets_path(self) -> str:
+        return f"{self.storage}/system/datasets"
+
+    def describe(self) -> DataFrame:
+        """SK11: name, kind, comment and rules of every dataset (latest run's record)."""
+        return self.spark.read.schema(_DATASETS_SCHEMA).parquet(self.datasets_path)
+
     def read(self, name: str) -> DataFrame:
         """``LIVE.x``: snapshot of a dataset as of now."""
         return self.spark.read.parquet(self.table_path(name))
@@ -118,6 +136,13 @@ class Pipeline:
         run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         done = {}
         log: list = []
+        described = [
+            (d.name, d.kind, d.comment, json.dumps({r.name: str(r.predicate) for r in d.rules}), self.table_path(d.name))
+            for d in self.datasets.values()
+        ]
+        self.spark.createDataFrame(described, _DATASETS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            self.datasets_path
+        )
         for name in self.order:
             if only and name not in only:
                 continue

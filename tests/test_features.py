@@ -41,3 +41,18 @@ def test_dropoff_schema(spark, sf_small):
         ("count_trips_window_30m_dropoff_zip", "int"),
         ("dropoff_is_weekend", "int"),
     ]
+
+
+def test_complete_windows_merge_exactly(spark, sf_small):
+    """With complete windows, two adjacent ranges together equal one run over both."""
+    trips = taxi_trips(spark, sf_small)
+    a = pickup_features(trips, "tpep_pickup_datetime", datetime(2024, 1, 2), datetime(2024, 1, 10), complete_windows=True)
+    b = pickup_features(trips, "tpep_pickup_datetime", datetime(2024, 1, 10), datetime(2024, 1, 20), complete_windows=True)
+    whole = pickup_features(trips, "tpep_pickup_datetime", datetime(2024, 1, 2), datetime(2024, 1, 20), complete_windows=True)
+    ab = a.unionByName(b)
+    assert ab.count() == whole.count() > 0
+    assert ab.exceptAll(whole).count() == 0
+    d = dropoff_features(trips, "tpep_dropoff_datetime", datetime(2024, 1, 2), datetime(2024, 1, 10), complete_windows=True)
+    d2 = dropoff_features(trips, "tpep_dropoff_datetime", datetime(2024, 1, 10), datetime(2024, 1, 20), complete_windows=True)
+    dw = dropoff_features(trips, "tpep_dropoff_datetime", datetime(2024, 1, 2), datetime(2024, 1, 20), complete_windows=True)
+    assert d.unionByName(d2).exceptAll(dw).count() == 0 and dw.count() == d.count() + d2.count()

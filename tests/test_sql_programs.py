@@ -54,3 +54,24 @@ def test_small_sources(spark, sf_small):
     assert a.count() == b.count() == 1000
     assert preview(a, 10).count() == 10
     assert preview(a).count() == 1000
+
+
+def test_conf_substitution_and_scalar_query_function(spark):
+    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("dropoff_tbl_demo")
+    spark.conf.set("whatever.dropoff_feature_table_name", "dropoff_tbl_demo")
+    assert spark.sql("select * from ${whatever.dropoff_feature_table_name}").count() == 1
+    # the notebook declared FLOAT for a function returning a name; STRING is the working form
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION myTable() RETURNS STRING "
+        "RETURN SELECT '${whatever.dropoff_feature_table_name}' as x"
+    )
+    assert spark.sql("select myTable()").first()[0] == "dropoff_tbl_demo"
+    assert spark.sql("SELECT * FROM IDENTIFIER(:t)", args={"t": "dropoff_tbl_demo"}).count() == 1
+
+
+def test_replace_table_from_source(spark, sf_small):
+    from lakelet.store.catalog import replace_table_from_source
+
+    v = replace_table_from_source(spark, "nation", sf_small, "nation.parquet")
+    assert v.count() == 25
+    assert spark.table("nation").count() == 25
