@@ -85,3 +85,11 @@ SELECT t.fare_amount, t.trip_distance, t.pickup_zip, t.dropoff_zip,
 FROM taxi_data t
 LEFT JOIN pk p ON p.zip = t.pickup_zip AND p.ts = t.rounded_pickup_datetime
 LEFT JOIN dk d ON d.zip = t.dropoff_zip AND d.ts = t.rounded_dropoff_datetime"""
+
+
+# Complete windows over January: rows read from one window length before the start,
+# windows kept when their end lies in (start, end].
+PICKUP_FEATURES_COMPLETE = f"""WITH {TRIPS_CTE},
+{pickup_sql("2023-12-31 23:00:00", JAN_END)}
+SELECT * FROM pickup
+WHERE ts > CAST(epoch(TIMESTAMP '{JAN_START}') AS INTEGER) AND ts <= CAST(epoch(TIMESTAMP '{JAN_END}') AS INTEGER)"""
