@@ -65,7 +65,8 @@ def sliding_window_agg(
     us = epoch_micros(df, ts)
     bins = (
         df.where(F.col(ts).isNotNull())
-        .groupBy(F.col(key), F.floor(us / F.lit(slide_us)).alias("_bin"))
+        # exact integer bin index: (us - pmod(us, step)) is a multiple of step
+        .groupBy(F.col(key), ((us - F.pmod(us, F.lit(slide_us))) / F.lit(slide_us)).cast("long").alias("_bin"))
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.sum(value).alias("sum_value"),
