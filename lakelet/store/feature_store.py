@@ -54,9 +54,20 @@ def _null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]):
     return cond
 
 
-def _has_duplicate_keys(df: DataFrame, keys: list[str]) -> bool:
-    """One aggregation over the key columns only; stops at the first duplicate found."""
-    return df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count() > 0
+def check_keys(df: DataFrame, keys: list[str], partition_columns: list[str]) -> list[tuple]:
+    """Refuse duplicate keys and list the partition values present, in one pass.
+
+    Aggregates per key (only key and partition columns are read), then per
+    partition value; what comes back to the driver is one row per partition value
+    (e.g. per month), never per key.  A key seen in two partitions is a duplicate.
+    """
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(p).alias(p) for p in partition_columns]
+    )
+    summary = per_key.groupBy(*partition_columns).agg(F.max("_n").alias("_max")).collect()
+    if any(r["_max"] is not None and r["_max"] > 1 for r in summary):
+        raise DuplicateKeyError(f"duplicate primary keys {keys}")
+    return [tuple(r[p] for p in partition_columns) for r in summary if r["_max"] is not None]
 
 
 def upsert_partitioned(
@@ -65,6 +76,7 @@ def upsert_partitioned(
     batch: DataFrame,
     keys: list[str],
     partition_columns: list[str],
+    touched: list[tuple] | None = None,
 ) -> None:
     """SK10: keyed upsert of ``batch`` into the partitioned parquet table at ``path``.
 
@@ -75,8 +87,9 @@ def upsert_partitioned(
     """
     if not partition_columns:
         raise ValueError("a partitioned table is required; use overwrite for unpartitioned ones")
-    # bounded by the number of partitions the batch touches (e.g. months), not by rows
-    touched = [tuple(r) for r in batch.select(*partition_columns).distinct().collect()]
+    if touched is None:
+        # bounded by the number of partitions the batch touches (e.g. months), not by rows
+        touched = [tuple(r) for r in batch.select(*partition_columns).distinct().collect()]
     if not touched:
         return
     existing = spark.read.schema(batch.schema).parquet(path)
@@ -139,6 +152,7 @@ class FeatureStore:
         self.spark = spark
         self.root = (root or shared_dir(spark, "feature_store")).rstrip("/")
         self.meta_path = f"{self.root}/_meta"
+        self._specs: dict[str, dict] = {}  # latest spec of tables this instance wrote or read
         # an empty typed append creates the folder (or adds nothing), so reads never miss it
         spark.createDataFrame([], _META_SCHEMA).coalesce(1).write.mode("append").parquet(self.meta_path)
 
@@ -149,14 +163,19 @@ class FeatureStore:
     def _record(self, spec: dict) -> None:
         row = dict(spec, written_at=datetime.now(timezone.utc))
         self.spark.createDataFrame([row], _META_SCHEMA).coalesce(1).write.mode("append").parquet(self.meta_path)
+        self._specs[spec["name"]] = row
 
-    def get_table(self, name: str) -> dict:
+    def get_table(self, name: str, refresh: bool = False) -> dict:
+        """Latest spec of a table (cached per instance; ``refresh`` re-reads the metadata)."""
+        if not refresh and name in self._specs:
+            return dict(self._specs[name])
         rows = (
             self._meta().where(F.col("name") == name).orderBy(F.col("version").desc()).limit(1).collect()
         )
         if not rows:
             raise KeyError(f"feature table {name!r} does not exist")
-        return rows[0].asDict()
+        self._specs[name] = rows[0].asDict()
+        return dict(self._specs[name])
 
     def search(self, pattern: str = "%") -> DataFrame:
         """ML10: latest metadata of every table whose name matches a SQL LIKE pattern."""
@@ -188,8 +207,10 @@ class FeatureStore:
             writer = writer.partitionBy(*parts)
         writer.parquet(path)
         written = self.spark.read.parquet(path)
-        if _has_duplicate_keys(written.select(*keys), keys):
-            raise DuplicateKeyError(f"duplicate primary keys {keys} in the rows for {name!r}; table not registered")
+        try:
+            check_keys(written.select(*keys, *parts), keys, parts)
+        except DuplicateKeyError as e:
+            raise DuplicateKeyError(f"{e} in the rows for {name!r}; table not registered") from None
         spec = {
             "name": name,
             "path": path,
@@ -210,11 +231,13 @@ class FeatureStore:
         staging = f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:8]}"
         df.select(*self.spark.read.parquet(path).columns).write.parquet(staging)
         batch = self.spark.read.parquet(staging)
-        if _has_duplicate_keys(batch.select(*keys), keys):
-            raise DuplicateKeyError(f"duplicate primary keys {keys} in the batch for {name!r}; table unchanged")
+        try:
+            touched = check_keys(batch.select(*keys, *parts), keys, parts)
+        except DuplicateKeyError as e:
+            raise DuplicateKeyError(f"{e} in the batch for {name!r}; table unchanged") from None
         if mode == "merge":
             if parts:
-                upsert_partitioned(self.spark, path, batch, keys, parts)
+                upsert_partitioned(self.spark, path, batch, keys, parts, touched)
             else:
                 # unpartitioned: the whole table is the one touched partition
                 old = self.spark.read.parquet(path)
