@@ -79,10 +79,12 @@ def date_of(c: Column | str) -> Column:
     return F.to_date(c)
 
 
-def parse_timestamp(c: Column | str, fmt: str | None = None) -> Column:
-    """DT9: string or timestamp to timestamp."""
+def parse_timestamp(c: Column | str, fmt: str | None = None, strict: bool = False) -> Column:
+    """DT9: string or timestamp to timestamp; unparsable text gives NULL unless ``strict``."""
     col = c if isinstance(c, Column) else F.col(c)
-    return F.to_timestamp(col, fmt) if fmt else F.to_timestamp(col)
+    if strict:
+        return F.to_timestamp(col, fmt) if fmt else F.to_timestamp(col)
+    return F.try_to_timestamp(col, F.lit(fmt)) if fmt else F.try_to_timestamp(col)
 
 
 def month_label(c: Column | str) -> Column:

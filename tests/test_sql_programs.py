@@ -75,3 +75,31 @@ def test_replace_table_from_source(spark, sf_small):
     v = replace_table_from_source(spark, "nation", sf_small, "nation.parquet")
     assert v.count() == 25
     assert spark.table("nation").count() == 25
+
+
+def test_name_scan_literal_row_and_temp_view(spark, sf_small):
+    from lakelet.plans.taxi import rounded_taxi_data
+    from lakelet.sources.fixtures import taxi_trips
+    from lakelet.sources.tables import literal_row, read_name
+
+    assert literal_row(spark, "SELECT \"I'm running SQL!\" AS msg").first().msg == "I'm running SQL!"
+    rounded_taxi_data(spark, taxi_trips(spark, sf_small))  # registers the view taxi_data
+    t = read_name(spark, "taxi_data")
+    assert "rounded_pickup_datetime" in t.columns and "tpep_pickup_datetime" not in t.columns
+    assert t.count() == 1000
+
+
+def test_parse_timestamp(spark):
+    from lakelet.functions.timefns import parse_timestamp
+
+    df = spark.createDataFrame([("2024-01-05 10:00:00",), ("05/01/2024 10:00",)], "s string")
+    got = df.select(parse_timestamp("s").alias("a"), parse_timestamp("s", "dd/MM/yyyy HH:mm").alias("b")).collect()
+    assert got[0].a is not None and got[1].b is not None
+    assert got[1].a is None and got[0].b is None  # unparsable text is NULL, not an error
+
+
+def test_registry_latest_version_defaults_to_one(spark):
+    from lakelet.ml.model import ModelRegistry
+
+    reg = ModelRegistry(spark, new_run_dir(spark, "test-registry"))
+    assert reg.latest_version("never_logged") == 1

@@ -84,6 +84,14 @@ def test_vitals_stream_restarts_equal_batch(spark):
     )
     assert sorted((x.mrn, x.name, x.a, str(x.date)) for x in batch.collect()) == first
 
+    # provenance columns on the bronze table, dataset descriptions recorded
+    bronze = p2.read("recordings_bronze")
+    assert bronze.columns[:2] == ["receipt_time", "source_file"]
+    assert bronze.where(F.col("source_file").endswith(".json")).count() == bronze.count() == 5
+    desc = {r.name: r for r in p2.describe().collect()}
+    assert desc["daily_patient_avg"].comment == "Daily mean heartrates by patient"
+    assert "heartrate > 0" in desc["recordings_enriched"].rules
+
     # the run log holds the rule counts: 5 enriched rows seen, 1 dropped by the rule
     ev = p2.events().where(F.col("dataset") == "recordings_enriched")
     tot = ev.agg(F.sum("rows_seen").alias("s"), F.sum("rows_dropped").alias("d")).first()
