@@ -83,8 +83,14 @@ class Dataset:
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, name: str, storage: str, datasets: list[Dataset]):
+    """``state_partitions``: shuffle partitions for the first run of a stateful stream (join
+    or aggregate).  A checkpoint keeps that number for good, so on a cluster size it for the
+    final state (e.g. a few thousand); later runs ignore the setting."""
+
+    def __init__(self, spark: SparkSession, name: str, storage: str, datasets: list[Dataset],
+                 state_partitions: int | None = None):
         self.spark = spark
+        self.state_partitions = state_partitions
         self.name = name
         self.storage = storage.rstrip("/")
         self.datasets = {d.name: d for d in datasets}
@@ -130,6 +136,7 @@ class Pipeline:
         """Run every dataset (or ``only`` some) in declaration order; returns batches per dataset."""
         conf = self.spark.conf
         conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+        shuffle_partitions = conf.get("spark.sql.shuffle.partitions")
         if conf.get("spark.sql.streaming.stateStore.providerClass", _HDFS_STATE) == _HDFS_STATE:
             conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB_STATE)
             conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -155,6 +162,8 @@ class Pipeline:
                 w.parquet(self.table_path(name))
                 done[name] = 1
                 continue
+            if self.state_partitions:
+                conf.set("spark.sql.shuffle.partitions", str(self.state_partitions))
             df = d.build(self)
             obs_name = f"rules_{name}"
             df = apply_rules(df, d.rules, obs_name if d.rules else None)
@@ -174,6 +183,7 @@ class Pipeline:
             if q.exception():
                 raise q.exception()
             done[name] = self._log(log, name, run_id, q.recentProgress, obs_name)
+        conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
         if log:
             self.spark.createDataFrame(log, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)
         return done
