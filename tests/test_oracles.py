@@ -41,7 +41,7 @@ def test_matches_oracle(spark, sf_small, duck, name):
 
 def test_every_query_has_oracle_or_is_nondeterministic():
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"ping_random_load", "score_batch", "pipeline_events", "trips_sample"}
+    assert missing <= {"ping_random_load", "score_batch", "trips_sample"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - HEAVY))
