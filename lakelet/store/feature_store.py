@@ -70,6 +70,26 @@ def check_keys(df: DataFrame, keys: list[str], partition_columns: list[str]) ->
     return [tuple(r[p] for p in partition_columns) for r in summary if r["_max"] is not None]
 
 
+def _partition_filter(partition_columns: list[str], touched: list[tuple]):
+    """Null-safe filter on the touched partition values (a NULL value is a partition too);
+    a plain IN-list where possible so that it prunes directories."""
+    if len(partition_columns) == 1:
+        col = F.col(partition_columns[0])
+        values = [t[0] for t in touched if t[0] is not None]
+        cond = col.isin(values) if values else None
+        if len(values) < len(touched):
+            cond = col.isNull() if cond is None else cond | col.isNull()
+        return cond
+    cond = None
+    for t in touched:
+        c = None
+        for name, v in zip(partition_columns, t):
+            e = F.col(name).eqNullSafe(F.lit(v))
+            c = e if c is None else c & e
+        cond = c if cond is None else cond | c
+    return cond
+
+
 def upsert_partitioned(
     spark: SparkSession,
     path: str,
@@ -93,17 +113,7 @@ def upsert_partitioned(
     if not touched:
         return
     existing = spark.read.schema(batch.schema).parquet(path)
-    if len(partition_columns) == 1:
-        pruned = existing.where(F.col(partition_columns[0]).isin([t[0] for t in touched]))
-    else:
-        cond = None
-        for t in touched:
-            c = None
-            for col, v in zip(partition_columns, t):
-                e = F.col(col).eqNullSafe(F.lit(v))
-                c = e if c is None else c & e
-            cond = c if cond is None else cond | c
-        pruned = existing.where(cond)
+    pruned = existing.where(_partition_filter(partition_columns, touched))
     kept = pruned.join(batch.select(*keys), _null_safe_keys(pruned, batch, keys), "left_anti")
     merged = kept.unionByName(batch.select(*existing.columns))
     (

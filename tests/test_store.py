@@ -105,3 +105,12 @@ def test_broadcast_only_under_proven_bound(spark):
     assert not fits_broadcast(spark, None, schema)
     assert fits_broadcast(spark, 10, schema)
     assert not fits_broadcast(spark, 10**9, schema)
+
+
+def test_upsert_into_null_partition_keeps_other_rows(spark):
+    st = _store(spark)
+    base = spark.createDataFrame([(1, 1, None, 1.0), (2, 2, None, 2.0), (3, 3, "2024-01", 3.0)], SCHEMA)
+    st.create_table("n", ["zip", "ts"], base, "yyyy_mm")
+    st.write_table("n", spark.createDataFrame([(1, 1, None, 10.0), (4, 4, None, 4.0)], SCHEMA), mode="merge")
+    got = sorted((r.zip, r.v) for r in st.read_table("n").collect())
+    assert got == [(1, 10.0), (2, 2.0), (3, 3.0), (4, 4.0)]
