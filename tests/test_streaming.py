@@ -148,3 +148,24 @@ def _sales_left_join_not_retroactive(spark):
     assert cleaned == {11: "NATION_1", 12: None, 13: "NATION_7"}  # NULL order number dropped by the rule
     by_city = sorted((r.city, r.curr, r.sales, r.quantity, r.product_count) for r in p.read("sales_by_city").collect())
     assert by_city == [("NATION_1", "A", 10.0, 2.0, 1), ("NATION_7", "R", 3.0, 1.0, 1)]
+
+
+def test_hot_key_is_spread_and_joined_once(spark):
+    """One patient with a third of all recordings: every recording joins exactly once, and the
+    hot patient's rows land in every salt bucket instead of one join partition."""
+    from lakelet.operators.joins import SALT, replicate_salts, with_salt
+
+    run = new_run_dir(spark, "test-hot")
+    rec, pat = f"{run}/rec", f"{run}/pat"
+    rows = [(str(i), "1" if i % 3 == 0 else str(2 + i % 50), "70", EPOCH_DAY1 + i) for i in range(3000)]
+    _land_json(spark, rows, rec)
+    _land_patients(spark, [(m, f"p{m}") for m in range(1, 52)], pat)
+    p = vitals_pipeline(spark, rec, pat, f"{run}/storage")
+    p.run()
+    enriched = p.read("recordings_enriched")
+    assert enriched.count() == 3000
+    assert enriched.where("mrn = 1").count() == 1000
+    salted = with_salt(spark.read.json(rec), 8, "device_id", "mrn", "time").where("mrn = '1'")
+    sizes = [r["count"] for r in salted.groupBy(SALT).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 250
+    assert replicate_salts(spark.createDataFrame([(1,)], "m int"), 8).count() == 8
