@@ -40,7 +40,7 @@ class Rule:
 
 
 def apply_rules(df: DataFrame, rules: list[Rule], observation_name: str | None = None) -> DataFrame:
-    """Drop rows that violate any rule, counting rows seen and dropped per rule.
+    """Drop rows that violate any rule, counting rows seen, rows dropped and violations per rule.
 
     Counts are gathered with ``DataFrame.observe`` in the same pass as the data
     (no second job); in a stream they arrive per micro-batch in
@@ -49,12 +49,15 @@ def apply_rules(df: DataFrame, rules: list[Rule], observation_name: str | None =
     if not rules:
         return df
     passed = [F.coalesce(r.column(), F.lit(False)) for r in rules]
-    metrics = [F.count(F.lit(1)).alias("rows_seen")]
-    for r, ok in zip(rules, passed):
-        metrics.append(F.sum(F.when(ok, 0).otherwise(1)).alias(f"dropped_{r.name}"))
-    if observation_name:
-        df = df.observe(observation_name, *metrics)
     keep = passed[0]
     for ok in passed[1:]:
         keep = keep & ok
+    if observation_name:
+        metrics = [
+            F.count(F.lit(1)).alias("rows_seen"),
+            F.sum(F.when(keep, 0).otherwise(1)).alias("rows_dropped"),
+        ]
+        for r, ok in zip(rules, passed):
+            metrics.append(F.sum(F.when(ok, 0).otherwise(1)).alias(f"violations_{r.name}"))
+        df = df.observe(observation_name, *metrics)
     return df.filter(keep)

@@ -150,42 +150,47 @@ class Pipeline:
         self.spark.createDataFrame(described, _DATASETS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             self.datasets_path
         )
-        for name in self.order:
-            if only and name not in only:
-                continue
-            d = self.datasets[name]
-            if d.kind == "table":
-                df = apply_rules(d.build(self), d.rules)
-                w = df.write.mode("overwrite")
-                if d.partition_by:
-                    w = w.partitionBy(*d.partition_by)
-                w.parquet(self.table_path(name))
-                done[name] = 1
-                continue
-            if self.state_partitions:
-                conf.set("spark.sql.shuffle.partitions", str(self.state_partitions))
-            df = d.build(self)
-            obs_name = f"rules_{name}"
-            df = apply_rules(df, d.rules, obs_name if d.rules else None)
-            if d.kind == "stream":
-                q = (
-                    df.writeStream.format("parquet")
-                    .outputMode("append")
-                    .option("checkpointLocation", self.checkpoint(name))
-                    .trigger(availableNow=True)
-                    .start(self.table_path(name))
+        try:
+            for name in self.order:
+                if only and name not in only:
+                    continue
+                d = self.datasets[name]
+                if d.kind == "table":
+                    df = apply_rules(d.build(self), d.rules)
+                    w = df.write.mode("overwrite")
+                    if d.partition_by:
+                        w = w.partitionBy(*d.partition_by)
+                    w.parquet(self.table_path(name))
+                    done[name] = 1
+                    continue
+                if self.state_partitions:
+                    conf.set("spark.sql.shuffle.partitions", str(self.state_partitions))
+                df = d.build(self)
+                obs_name = f"rules_{name}"
+                df = apply_rules(df, d.rules, obs_name if d.rules else None)
+                if d.kind == "stream":
+                    q = (
+                        df.writeStream.format("parquet")
+                        .outputMode("append")
+                        .option("checkpointLocation", self.checkpoint(name))
+                        .trigger(availableNow=True)
+                        .start(self.table_path(name))
+                    )
+                elif d.kind == "aggregate":
+                    q = self._start_aggregate(d, df)
+                else:
+                    raise ValueError(f"unknown dataset kind {d.kind!r}")
+                q.awaitTermination()
+                if q.exception():
+                    raise q.exception()
+                done[name] = self._log(log, name, run_id, q.recentProgress, obs_name)
+        finally:
+            conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
+            # datasets that completed are logged even when a later one fails
+            if log:
+                self.spark.createDataFrame(log, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(
+                    self.events_path
                 )
-            elif d.kind == "aggregate":
-                q = self._start_aggregate(d, df)
-            else:
-                raise ValueError(f"unknown dataset kind {d.kind!r}")
-            q.awaitTermination()
-            if q.exception():
-                raise q.exception()
-            done[name] = self._log(log, name, run_id, q.recentProgress, obs_name)
-        conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
-        if log:
-            self.spark.createDataFrame(log, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)
         return done
 
     def _start_aggregate(self, d: Dataset, df: DataFrame):
@@ -217,7 +222,6 @@ class Pipeline:
         for p in progress:
             p = json.loads(p.json) if hasattr(p, "json") else p
             metrics = (p.get("observedMetrics") or {}).get(obs_name) or {}
-            dropped = sum(int(v) for k, v in metrics.items() if k.startswith("dropped_") and v is not None)
             rows.append(
                 (
                     self.name,
@@ -227,7 +231,7 @@ class Pipeline:
                     p.get("timestamp"),
                     int(p.get("numInputRows", 0)),
                     int(metrics["rows_seen"]) if metrics.get("rows_seen") is not None else None,
-                    dropped if metrics else None,
+                    int(metrics["rows_dropped"]) if metrics.get("rows_dropped") is not None else None,
                     json.dumps(metrics) if metrics else None,
                     json.dumps(p.get("durationMs") or {}),
                     now,
