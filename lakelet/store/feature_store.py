@@ -238,8 +238,10 @@ class FeatureStore:
         """SK10: ``merge`` upserts by primary key; ``overwrite`` replaces the table's rows."""
         spec = self.get_table(name)
         keys, parts, path = list(spec["primary_keys"]), list(spec["partition_columns"]), spec["path"]
-        staging = f"{self.root}/_staging/{name}-{uuid.uuid4().hex[:8]}"
-        df.select(*self.spark.read.parquet(path).columns).write.parquet(staging)
+        # one staging slot per table, overwritten by each write: a stage is only read by
+        # its own upsert, and one writer per table is the rule, so storage stays bounded
+        staging = f"{self.root}/_staging/{name}"
+        df.select(*self.spark.read.parquet(path).columns).write.mode("overwrite").parquet(staging)
         batch = self.spark.read.parquet(staging)
         try:
             touched = check_keys(batch.select(*keys, *parts), keys, parts)

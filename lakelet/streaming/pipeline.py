@@ -201,9 +201,10 @@ class Pipeline:
         self.spark.createDataFrame([], df.schema).write.mode("append").partitionBy(*parts).parquet(path)
 
         def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-            # stage the changed groups once (cuts the micro-batch lineage; a replayed
-            # batch overwrites the same staging folder and upserts the same values)
-            stage = f"{staging}/batch={batch_id}"
+            # stage the changed groups once (cuts the micro-batch lineage).  One slot,
+            # overwritten per batch: the stage is only read by this batch's upsert, and a
+            # replayed batch rewrites it and upserts the same values.
+            stage = f"{staging}/current"
             batch.write.mode("overwrite").parquet(stage)
             staged = self.spark.read.parquet(stage)
             upsert_partitioned(self.spark, path, staged, keys, parts)
