@@ -16,17 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def parse_hints(hints: str | dict[str, str] | None) -> dict[str, str]:
-    """``"time DOUBLE, id LONG"`` or ``{"time": "double"}`` -> {name: type}."""
+def parse_hints(hints: str | dict[str, str] | None) -> dict[str, T.DataType]:
+    """``"time DOUBLE, id LONG"`` or ``{"time": "double"}`` -> {name: type} (Spark DDL)."""
     if not hints:
         return {}
     if isinstance(hints, dict):
-        return dict(hints)
-    out = {}
-    for part in hints.split(","):
-        name, typ = part.strip().split(None, 1)
-        out[name] = typ.strip()
-    return out
+        return {k: T.DataType.fromDDL(v) for k, v in hints.items()}
+    return {f.name: f.dataType for f in T.DataType.fromDDL(hints).fields}
 
 
 def infer_schema(
@@ -64,13 +60,13 @@ def infer_schema(
         fields = []
         for f in schema.fields:
             if f.name in h:
-                fields.append(T.StructField(f.name, T._parse_datatype_string(h[f.name]), True))
+                fields.append(T.StructField(f.name, h[f.name], True))
             else:
                 fields.append(f)
         names = {f.name for f in schema.fields}
         for name, typ in h.items():
             if name not in names:
-                fields.append(T.StructField(name, T._parse_datatype_string(typ), True))
+                fields.append(T.StructField(name, typ, True))
         schema = T.StructType(fields)
     return schema
 
