@@ -61,7 +61,9 @@ def train_regressor(
     """ML2-ML5: random split, boosted-tree regression on the label, RMSE on the held-out part."""
     label = training_set.label
     df = training_set.load_df().where(F.col(label).isNotNull())
-    # cut the lineage of the lookup joins once; training passes re-read this, not the joins
+    # cut the lineage of the lookup joins once; training passes re-read this, not the joins.
+    # Reliable checkpoint into the shared folder named by spark.checkpoint.dir.
+    shared_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     features = [c for c in df.columns if c != label]
     train, test = df.randomSplit([train_share, 1.0 - train_share], seed)
