@@ -54,6 +54,10 @@ _DATASETS_SCHEMA = T.StructType(
     ]
 )
 
+_SCHEMAS_SCHEMA = T.StructType(
+    [T.StructField("name", T.StringType()), T.StructField("schema_json", T.StringType())]
+)
+
 _EVENTS_SCHEMA = T.StructType(
     [
         T.StructField("pipeline", T.StringType()),
@@ -95,7 +99,10 @@ class Pipeline:
         self.storage = storage.rstrip("/")
         self.datasets = {d.name: d for d in datasets}
         self.order = [d.name for d in datasets]
+        self._schemas: dict[str, T.StructType] | None = None
+        # empty typed appends create the system tables on first use (add nothing later)
         spark.createDataFrame([], _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)
+        spark.createDataFrame([], _SCHEMAS_SCHEMA).coalesce(1).write.mode("append").parquet(self.schemas_path)
 
     # ---- paths and reads ----------------------------------------------
     def table_path(self, name: str) -> str:
@@ -104,8 +111,27 @@ class Pipeline:
     def checkpoint(self, name: str) -> str:
         return f"{self.storage}/checkpoints/{name}"
 
-    def schema_path(self, name: str) -> str:
-        return f"{self.storage}/schemas/{name}"
+    @property
+    def schemas_path(self) -> str:
+        return f"{self.storage}/system/schemas"
+
+    def source_schema(self, name: str, infer) -> T.StructType:
+        """The schema a file source was first read with; inferred and saved on first use.
+
+        Saved before the stream starts, so every later run reads new files with the
+        same schema instead of re-inferring it (a file stream cannot change schema
+        under its checkpoint).  All schemas are read in one scan per run.
+        """
+        if self._schemas is None:
+            rows = self.spark.read.schema(_SCHEMAS_SCHEMA).parquet(self.schemas_path).collect()
+            self._schemas = {r.name: T.StructType.fromJson(json.loads(r.schema_json)) for r in rows}
+        if name not in self._schemas:
+            schema = infer()
+            self.spark.createDataFrame([(name, schema.json())], _SCHEMAS_SCHEMA).coalesce(1).write.mode(
+                "append"
+            ).parquet(self.schemas_path)
+            self._schemas[name] = schema
+        return self._schemas[name]
 
     @property
     def events_path(self) -> str:
