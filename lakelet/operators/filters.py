@@ -3,20 +3,42 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _bound(df: DataFrame, column: str, value) -> Column:
+    """A literal of the column's own timestamp type, independent of the session zone.
+
+    Naive ``datetime`` values are UTC wall-clock times (the library's convention):
+    for TIMESTAMP_NTZ they become an NTZ literal, for TIMESTAMP the UTC instant.
+    Without this, a naive ``datetime`` becomes an instant in the Python process's
+    zone and is shifted when compared with an NTZ column in another session zone.
+    """
+    if not isinstance(value, datetime):
+        return F.lit(value)
+    dt = df.schema[column].dataType
+    utc = value.astimezone(timezone.utc) if value.tzinfo else value.replace(tzinfo=timezone.utc)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.lit(utc.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(dt, T.TimestampType):
+        return F.lit(utc)
+    return F.lit(value)
 
 
 def filter_by_ts(df: DataFrame, ts_column: str | None, start=None, end=None) -> DataFrame:
     """Keep rows with ``start <= ts < end``; each bound optional; no-op without a column.
 
-    Plain comparisons so Catalyst pushes them to the parquet scan as row-group filters.
+    Plain comparisons with a literal of the column's type, so Catalyst pushes them to
+    the parquet scan as row-group filters.
     """
     if ts_column and start is not None:
-        df = df.filter(F.col(ts_column) >= F.lit(start))
+        df = df.filter(F.col(ts_column) >= _bound(df, ts_column, start))
     if ts_column and end is not None:
-        df = df.filter(F.col(ts_column) < F.lit(end))
+        df = df.filter(F.col(ts_column) < _bound(df, ts_column, end))
     return df
 
 

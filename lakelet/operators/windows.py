@@ -5,9 +5,11 @@ row into size/slide copies before the partial aggregate.  Here the rows are
 first reduced to (key, slide-bin) partial sums -- one hash per input row, with
 map-side combine -- and only those bins are fanned out to the size/slide windows
 they belong to.  The result is identical (sums, counts) and the mean is
-sum/count; the row expansion moves from raw rows to pre-aggregated bins, which at
-scale are orders of magnitude fewer.  Hot keys are absorbed by the partial
-aggregates, so skew on the key does not reach the shuffle.
+sum/count; the row expansion moves from raw rows to pre-aggregated bins, which are
+far fewer whenever many rows share a (key, bin) -- taxi trips per zip per 15
+minutes.  Hot keys are absorbed by the partial aggregates, so skew on the key
+does not reach the shuffle.  The price is one more (small) exchange; on tiny
+inputs Spark's own ``window`` is faster, and ``method="window"`` selects it.
 """
 
 from __future__ import annotations
