@@ -114,13 +114,18 @@ def _read_range(df, ts_column, start_date, end_date, size_minutes, complete_wind
     return filter_by_ts(df, ts_column, start_date, end_date)
 
 
+def _epoch(value: datetime) -> int:
+    """Epoch seconds of a bound; a naive datetime is a UTC wall-clock time."""
+    return int((value if value.tzinfo else value.replace(tzinfo=timezone.utc)).timestamp())
+
+
 def _keep_complete(out, start_date, end_date, complete_windows):
     if not complete_windows:
         return out
     if start_date is not None:
-        out = out.where(F.col("ts") > F.lit(int(start_date.replace(tzinfo=timezone.utc).timestamp())))
+        out = out.where(F.col("ts") > F.lit(_epoch(start_date)))
     if end_date is not None:
-        out = out.where(F.col("ts") <= F.lit(int(end_date.replace(tzinfo=timezone.utc).timestamp())))
+        out = out.where(F.col("ts") <= F.lit(_epoch(end_date)))
     return out
 
 
