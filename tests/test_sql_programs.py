@@ -103,3 +103,19 @@ def test_registry_latest_version_defaults_to_one(spark):
 
     reg = ModelRegistry(spark, new_run_dir(spark, "test-registry"))
     assert reg.latest_version("never_logged") == 1
+
+
+def test_saved_schema_inferred_once(spark, sf_small):
+    from lakelet.sources.ingest import infer_schema, saved_schema
+
+    loc = f"{new_run_dir(spark, 'test-schema')}/schema"
+    calls = []
+
+    def make():
+        calls.append(1)
+        return infer_schema(spark, "parquet", f"{sf_small}/nation.parquet", hints="n_nationkey BIGINT")
+
+    first = saved_schema(spark, loc, make)
+    again = saved_schema(spark, loc, make)
+    assert first == again and len(calls) == 1
+    assert first["n_nationkey"].dataType.simpleString() == "bigint"
