@@ -128,14 +128,17 @@ class ModelRegistry:
         return PipelineModel.load(f"{path}/model"), spec
 
 
-def score_batch(store: FeatureStore, registry: ModelRegistry, model_uri: str, df: DataFrame) -> DataFrame:
+def score_batch(
+    store: FeatureStore, registry: ModelRegistry, model_uri: str, df: DataFrame, prune_partitions: bool = False
+) -> DataFrame:
     """ML8/JN4: look up the model's features for ``df`` (from the saved spec), append ``prediction``.
 
     Output: the input columns, the looked-up features and ``prediction``; one row per input row.
+    ``prune_partitions`` reads only the feature partitions the batch can match (a recent slice).
     """
     model, spec = registry.load(model_uri)
     lookups = [FeatureLookup(**x) for x in spec["feature_lookups"]]
-    with_features = store.lookup(df, lookups)
+    with_features = store.lookup(df, lookups, prune_partitions)
     keep = with_features.columns
     return model.transform(with_features).select(*keep, "prediction")
 

@@ -39,6 +39,8 @@ _META_SCHEMA = T.StructType(
         T.StructField("row_count", T.LongType()),
         T.StructField("version", T.LongType()),
         T.StructField("written_at", T.TimestampType()),
+        # {partition column: SQL expression over the key columns}, when partitions follow keys
+        T.StructField("partition_expr_json", T.StringType()),
     ]
 )
 
@@ -203,8 +205,14 @@ class FeatureStore:
         df: DataFrame,
         partition_columns: list[str] | str | None = None,
         description: str = "",
+        partition_expr: dict[str, str] | None = None,
     ) -> dict:
-        """SK9: write ``df`` as a new keyed table; duplicate keys are refused."""
+        """SK9: write ``df`` as a new keyed table; duplicate keys are refused.
+
+        ``partition_expr`` optionally records how each partition column is computed
+        from the key columns (SQL text), which lets lookups read only the partitions
+        their input can match (``lookup(..., prune_partitions=True)``).
+        """
         keys = [primary_keys] if isinstance(primary_keys, str) else list(primary_keys)
         parts = [partition_columns] if isinstance(partition_columns, str) else list(partition_columns or [])
         exists = self._meta().where(F.col("name") == name).limit(1).count() > 0
@@ -230,6 +238,7 @@ class FeatureStore:
             "schema_json": df.schema.json(),
             "row_count": int(obs.get["rows"]),
             "version": 1,
+            "partition_expr_json": json.dumps(partition_expr) if partition_expr else None,
         }
         self._record(spec)
         return spec
@@ -275,30 +284,44 @@ class FeatureStore:
         return self.spark.read.parquet(self.get_table(name)["path"])
 
     # ---- lookups --------------------------------------------------------
-    def _lookup_side(self, lookup: FeatureLookup) -> DataFrame:
+    def _lookup_side(self, lookup: FeatureLookup, df: DataFrame | None = None) -> DataFrame:
         spec = self.get_table(lookup.table_name)
         keys = list(spec["primary_keys"])
         if len(keys) != len(lookup.lookup_key):
             raise ValueError(f"{lookup.table_name}: lookup_key has {len(lookup.lookup_key)} columns, table keys {keys}")
-        side = self.spark.read.parquet(spec["path"]).select(
-            *[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *lookup.feature_names
-        )
-        if fits_broadcast(self.spark, spec["row_count"], side.schema):
-            # size proven from the table's recorded row count
+        table = self.spark.read.parquet(spec["path"])
+        rows = spec["row_count"]
+        exprs = json.loads(spec["partition_expr_json"]) if spec.get("partition_expr_json") else None
+        if df is not None and exprs:
+            # the partitions the input can match: the recorded expressions evaluated on the
+            # input's lookup keys; one row per partition value comes back (bounded)
+            as_keys = df.select(*[F.col(lk).alias(k) for lk, k in zip(lookup.lookup_key, keys)])
+            parts = list(exprs)
+            wanted = [tuple(r) for r in as_keys.select(*[F.expr(exprs[c]).alias(c) for c in parts]).distinct().collect()]
+            table = table.where(_partition_filter(parts, wanted)) if wanted else table.limit(0)
+            rows = table.count()  # footer-only count of the pruned partitions: a proven bound
+        side = table.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *lookup.feature_names)
+        if fits_broadcast(self.spark, rows, side.schema):
+            # size proven from the recorded (or pruned) row count
             side = F.broadcast(side)
         return side
 
-    def lookup(self, df: DataFrame, lookups: list[FeatureLookup]) -> DataFrame:
+    def lookup(self, df: DataFrame, lookups: list[FeatureLookup], prune_partitions: bool = False) -> DataFrame:
         """JN3: one LEFT equi-join per lookup, chained; every input row is kept once.
 
         The table side is unique on its keys (checked at write), so no input row is
         duplicated.  A side whose recorded size is under the broadcast threshold is
         broadcast; otherwise Spark shuffles both sides and AQE may still switch to a
         broadcast from measured sizes, or split a skewed key's partition.
+
+        ``prune_partitions`` (for tables created with ``partition_expr``) first lists
+        the partitions the input's keys fall in -- one extra pass over the input's
+        key columns -- and reads only those: the choice for scoring a recent slice
+        against a long history; leave it off when the input spans the whole table.
         """
         out = df
         for lu in lookups:
-            side = self._lookup_side(lu)
+            side = self._lookup_side(lu, df if prune_partitions else None)
             cond = None
             for i, k in enumerate(lu.lookup_key):
                 c = out[k] == side[f"__key{i}"]
@@ -312,7 +335,9 @@ class FeatureStore:
         feature_lookups: list[FeatureLookup],
         label: str | None,
         exclude_columns: list[str] | None = None,
+        prune_partitions: bool = False,
     ) -> TrainingSet:
         """ML1: input columns + looked-up features; ``load_df()`` drops the excluded columns."""
-        return TrainingSet(self.lookup(df, feature_lookups), list(feature_lookups), label, list(exclude_columns or []))
+        joined = self.lookup(df, feature_lookups, prune_partitions)
+        return TrainingSet(joined, list(feature_lookups), label, list(exclude_columns or []))
 

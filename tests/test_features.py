@@ -56,3 +56,19 @@ def test_complete_windows_merge_exactly(spark, sf_small):
     d2 = dropoff_features(trips, "tpep_dropoff_datetime", datetime(2024, 1, 10), datetime(2024, 1, 20), complete_windows=True)
     dw = dropoff_features(trips, "tpep_dropoff_datetime", datetime(2024, 1, 2), datetime(2024, 1, 20), complete_windows=True)
     assert d.unionByName(d2).exceptAll(dw).count() == 0 and dw.count() == d.count() + d2.count()
+
+
+def test_taxi_month_expression_matches_written_partitions(spark, sf_small):
+    from lakelet.plans.taxi import EXCLUDE_COLUMNS, LABEL, build_feature_tables, feature_lookups, rounded_taxi_data
+    from lakelet.session import new_run_dir
+    from lakelet.store.feature_store import FeatureStore
+
+    store = FeatureStore(spark, new_run_dir(spark, "test-prune"))
+    trips = taxi_trips(spark, sf_small)
+    p, d = build_feature_tables(spark, trips, store)
+    data = rounded_taxi_data(spark, trips, view=None)
+    full = store.create_training_set(data, feature_lookups(p, d), LABEL, EXCLUDE_COLUMNS).load_df()
+    pruned = store.create_training_set(data, feature_lookups(p, d), LABEL, EXCLUDE_COLUMNS, prune_partitions=True).load_df()
+    assert full.count() == pruned.count() == 1000
+    assert full.exceptAll(pruned).count() == 0
+    assert full.where("mean_fare_window_1h_pickup_zip IS NOT NULL").count() > 900

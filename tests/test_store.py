@@ -114,3 +114,20 @@ def test_upsert_into_null_partition_keeps_other_rows(spark):
     st.write_table("n", spark.createDataFrame([(1, 1, None, 10.0), (4, 4, None, 4.0)], SCHEMA), mode="merge")
     got = sorted((r.zip, r.v) for r in st.read_table("n").collect())
     assert got == [(1, 10.0), (2, 2.0), (3, 3.0), (4, 4.0)]
+
+
+def test_lookup_prunes_to_the_input_months(spark, capsys):
+    st = _store(spark)
+    month = {"yyyy_mm": "CASE WHEN ts < 200 THEN '2024-01' ELSE '2024-02' END"}
+    feats = spark.createDataFrame([(1, 100, "2024-01", 7.0), (1, 200, "2024-02", 8.0), (2, 250, "2024-02", 9.0)], SCHEMA)
+    st.create_table("pf", ["zip", "ts"], feats, "yyyy_mm", partition_expr=month)
+    rows = spark.createDataFrame([(1, 100, 0.5), (3, 150, 0.7)], "z long, t int, x double")
+    lu = [FeatureLookup("pf", ["v"], ["z", "t"])]
+    pruned = st.lookup(rows, lu, prune_partitions=True)
+    full = st.lookup(rows, lu)
+    assert sorted(map(tuple, pruned.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
+    assert sorted(map(tuple, pruned.collect()), key=str) == [(1, 100, 0.5, 7.0), (3, 150, 0.7, None)]
+    capsys.readouterr()
+    pruned.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(yyyy_mm" in plan and "2024-01" in plan and "2024-02" not in plan
