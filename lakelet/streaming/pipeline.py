@@ -86,9 +86,10 @@ class Dataset:
 
 
 class Pipeline:
-    """``state_partitions``: shuffle partitions for the first run of a stateful stream (join
-    or aggregate).  A checkpoint keeps that number for good, so on a cluster size it for the
-    final state (e.g. a few thousand); later runs ignore the setting."""
+    """``state_partitions``: shuffle partitions of the streams (micro-batches get no AQE
+    coalescing), and the state partitions of a stateful stream's first run (join or
+    aggregate).  A checkpoint keeps that number for good, so on a cluster size it for the
+    final state (e.g. the cluster's cores or more); later runs ignore it for state."""
 
     def __init__(self, spark: SparkSession, name: str, storage: str, datasets: list[Dataset],
                  state_partitions: int | None = None):
