@@ -169,3 +169,29 @@ def test_hot_key_is_spread_and_joined_once(spark):
     sizes = [r["count"] for r in salted.groupBy(SALT).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 250
     assert replicate_salts(spark.createDataFrame([(1,)], "m int"), 8).count() == 8
+
+
+def test_failed_run_restores_conf_and_logs_completed_datasets(spark):
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    run = new_run_dir(spark, "test-fail")
+    rec = f"{run}/rec"
+    _land_json(spark, [("1", "1", "80", EPOCH_DAY1)], rec)
+    schema = spark.read.json(rec).schema
+
+    def boom(p):
+        raise RuntimeError("bad dataset")
+
+    p = Pipeline(
+        spark,
+        "t",
+        f"{run}/storage",
+        [Dataset("raw", lambda p: spark.readStream.schema(schema).json(rec)), Dataset("broken", boom)],
+        state_partitions=3,
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(RuntimeError, match="bad dataset"):
+        p.run()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert [(r.dataset, r.num_input_rows) for r in p.events().collect()] == [("raw", 1)]
+    assert p.read("raw").count() == 1
