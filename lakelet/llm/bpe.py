@@ -40,7 +40,7 @@ LONG = 1_000_000
 
 
 @lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
+def code_classes() -> np.ndarray:
     """Class of every code point, by the Unicode properties that the pattern names."""
     import regex
 
@@ -56,7 +56,7 @@ def word_starts(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Mark the code points that start a word.  ``cp``: code points of concatenated texts; ``first``:
     True where a text starts."""
     n = len(cp)
-    cls = _classes()[cp]
+    cls = code_classes()[cp]
     start = first.copy()
     start[1:] |= cls[1:] != cls[:-1]
     # the last blank of a run that a word follows in the same text stands apart from the run,
@@ -276,7 +276,7 @@ class ByteBPE:
         index = self._numbers(word_hashes(np.frombuffer(data, dtype=np.uint8), bounds[:-1], bounds[1:]), data, bounds)
         n = self.word_at[index + 1] - self.word_at[index]
         counts += np.bincount(np.searchsorted(ends, starts, side="right"), weights=n, minlength=len(pieces)).astype(np.int64)
-        return self.word_ids[_ranges(self.word_at[index], n)]
+        return self.word_ids[ranges(self.word_at[index], n)]
 
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and the offsets of each text in them (one more than texts)."""
@@ -312,7 +312,7 @@ class ByteBPE:
         return flat, np.concatenate([[0], np.cumsum(per_text)])
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return self.token_bytes[_ranges(self.token_at[ids], self.token_len[ids])].tobytes()
+        return self.token_bytes[ranges(self.token_at[ids], self.token_len[ids])].tobytes()
 
 
 class RankedBPE(ByteBPE):
@@ -334,7 +334,7 @@ class RankedBPE(ByteBPE):
         return np.fromiter((t for x in ids for t in x), dtype=np.int32, count=int(counts.sum())), counts
 
 
-def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The indices start, start + 1, ... of each run, concatenated."""
     total = int(lens.sum())
     if not total:

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakelet.llm import bpe, minhash, packing, suffix
-from lakelet.llm.common import read_table, ship
+from lakelet.llm import bpe, langid, minhash, packing, quality, suffix, toxicity
+from lakelet.llm.common import fold, read_table, ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -29,6 +30,27 @@ def op4_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER, TOKENIZER_RANKS, end_id=2, max_len=1024, with_ids=False)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs, train_fold=(4, 2)))
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels"), train_fold=(4, 2)), cut=0.3)
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels"), train_fold=(3, 1)), cut=0.5)
+    return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return bpe.digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -38,6 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash_forest": op3_minhash_forest,
     "op4_bestfit_packing": op4_bestfit_packing,
+    "op5_language_id": op5_language_id,
+    "op7_toxicity": op7_toxicity,
+    "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 
