@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelet.llm import bpe, langid, minhash, packing, quality, suffix, toxicity
+from lakelet.llm import ann, bpe, covertree, langid, minhash, packing, quality, secret_scan, suffix, toxicity
 from lakelet.llm.common import fold, read_table, ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rows = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return suffix.removal_digests(read_table(spark, sf_dir, "documents"), length=200)
@@ -37,6 +43,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs, recall=0.99))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -44,6 +56,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op8_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rows = read_table(spark, sf_dir, "embeddings")
+    return covertree.top_products(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -57,13 +75,31 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash_forest": op3_minhash_forest,
     "op4_bestfit_packing": op4_bestfit_packing,
     "op5_language_id": op5_language_id,
+    "op6_secret_scan": op6_secret_scan,
     "op7_toxicity": op7_toxicity,
+    "op8_covertree": op8_covertree,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+OP8_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(d.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.e) = len(d.e)
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+WHERE n <= 5
+"""
+
+ORACLE: dict[str, str] = {"op8_covertree": OP8_SQL}

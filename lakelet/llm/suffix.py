@@ -89,10 +89,14 @@ def runs_of(data: np.ndarray, ends: np.ndarray, length: int, span: int) -> tuple
     return owner[first], p[first], p[last], a[first]
 
 
+def row_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, Column]:
+    """Columns that name a row, null ids included: ``id`` and ``th``, a hash of the text."""
+    return {"id": F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))), "th": F.xxhash64(F.coalesce(docs[text_col], F.lit("")))}
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, id, th, text): id and th (a hash of the text) name a row, null ids included."""
-    doc_id, text = docs[id_col].cast("long"), F.coalesce(docs[text_col], F.lit(""))
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    names = row_names(docs, id_col, text_col)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), *(c.alias(n) for n, c in names.items()), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
 def _joined(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
