@@ -63,7 +63,7 @@ def cover_tree(x: np.ndarray) -> Tree:
         a, b = lo[node], hi[node]
         child_lo[node] = child_hi[node] = len(lo)
         if b - a > LEAF and radius[node] > 0:
-            points, own = order[a:b], dist[a:b]
+            points, own = order[a:b].copy(), dist[a:b].copy()
             scale = radius[node] / 2
             # greedy net: each centre takes the points within the scale; the node's centre comes first
             left, left_d, c = points, own, center[node]
