@@ -145,13 +145,15 @@ class DualSearch:
         by = np.argsort(-bound, kind="stable")
         nodes, bound = nodes[by], bound[by]
         mine = self.qt.order[self.qt.lo[group]:self.qt.hi[group]]
-        at, chunk = 0, 256
+        points_to = np.cumsum(self.xt.hi[nodes] - self.xt.lo[nodes])
+        at, chunk = 0, 64  # points scored at a time, more and more as the best bounds go first
         while at < len(nodes) and bound[at] >= self.worst(group):
-            part = nodes[at:at + chunk][bound[at:at + chunk] >= self.worst(group)]
+            end = max(at + 1, int(np.searchsorted(points_to, (points_to[at - 1] if at else 0) + chunk)))
+            part = nodes[at:end][bound[at:end] >= self.worst(group)]
             n = self.xt.hi[part] - self.xt.lo[part]
             points = self.xt.order[np.arange(int(n.sum())) + np.repeat(self.xt.lo[part] - (np.cumsum(n) - n), n)]
             self.take(mine, points)
-            at += chunk
+            at = end
             chunk = min(2 * chunk, 4096)
 
     def take(self, mine: np.ndarray, points: np.ndarray) -> None:
