@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelet.session import shared_dir
+from lakelet.session import new_run_dir, shared_dir
 from lakelet.store.feature_store import FeatureLookup, FeatureStore, TrainingSet
+from lakelet.store.versions import ensure_table
 
 # Fixed values from the reference's training cell: seed of the split, 100 boosting
 # rounds, trees of 32 leaves (depth 5), squared error measured as RMSE.
@@ -58,21 +59,28 @@ def train_regressor(
     max_iter: int = ROUNDS,
     max_depth: int = DEPTH,
 ) -> tuple[PipelineModel, dict]:
-    """ML2-ML5: random split, boosted-tree regression on the label, RMSE on the held-out part."""
+    """ML2-ML5: random split, boosted-tree regression on the label, RMSE on the held-out part.
+
+    Rows without a label cannot be learnt from; the metrics count them.  The split goes by a hash of the
+    row, so it is the same on any cluster and after any retry.
+    """
     label = training_set.label
-    df = training_set.load_df().where(F.col(label).isNotNull())
-    # cut the lineage of the lookup joins once; training passes re-read this, not the joins.
-    # Reliable checkpoint into the shared folder named by spark.checkpoint.dir.
-    shared_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    spark = training_set.df.sparkSession
+    # cut the lineage of the lookup joins once: training passes read these files, not the joins
+    path = f"{new_run_dir(spark, 'training-set')}/rows"
+    training_set.load_df().write.parquet(path)
+    rows = spark.read.parquet(path)
+    unlabelled = rows.where(F.col(label).isNull()).count()
+    df = rows.where(F.col(label).isNotNull())
     features = [c for c in df.columns if c != label]
-    train, test = df.randomSplit([train_share, 1.0 - train_share], seed)
+    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(10_000))
+    train, test = df.where(place < int(train_share * 10_000)), df.where(place >= int(train_share * 10_000))
     gbt = GBTRegressor(labelCol=label, featuresCol="__features", maxIter=max_iter, maxDepth=max_depth, seed=seed)
     model = MLPipeline(stages=_feature_stages(features, label) + [gbt]).fit(train)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     rmse = ev.evaluate(model.transform(test))
     baseline = test.select(F.sqrt(F.avg((F.col(label) - F.lit(train.agg(F.avg(label)).first()[0])) ** 2))).first()[0]
-    return model, {"rmse": float(rmse), "rmse_mean_predictor": float(baseline or 0.0), "features": features}
+    return model, {"rmse": float(rmse), "rmse_mean_predictor": float(baseline or 0.0), "features": features, "rows_without_label": unlabelled}
 
 
 class ModelRegistry:
@@ -82,7 +90,7 @@ class ModelRegistry:
         self.spark = spark
         self.root = (root or shared_dir(spark, "models")).rstrip("/")
         self.meta = f"{self.root}/_registry"
-        spark.createDataFrame([], _REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(self.meta)
+        ensure_table(spark, self.meta, _REGISTRY_SCHEMA)
 
     def latest_version(self, name: str) -> int:
         """Highest registered version, at least 1."""
@@ -160,9 +168,6 @@ PREDICTION_COLUMNS = [
 
 
 def present_predictions(scored: DataFrame, columns: list[str] = PREDICTION_COLUMNS) -> DataFrame:
-    """ML9: reorder, rename ``prediction`` to ``predicted_fare_amount``, round it to 2 digits."""
-    return (
-        scored.select(columns)
-        .withColumnRenamed("prediction", "predicted_fare_amount")
-        .withColumn("predicted_fare_amount", F.round("predicted_fare_amount", 2))
-    )
+    """ML9: the columns in display order, the prediction as ``predicted_fare_amount`` with 2 digits."""
+    shown = {"prediction": F.round("prediction", 2).alias("predicted_fare_amount")}
+    return scored.select(*[shown.get(c, F.col(c)) for c in columns])

@@ -42,9 +42,18 @@ def filter_by_ts(df: DataFrame, ts_column: str | None, start=None, end=None) ->
     return df
 
 
-def sample_range(df: DataFrame, ts_column: str, start=None, end=None, fraction: float = 0.1, seed: int | None = None) -> DataFrame:
-    """ML12: a random subsample of the rows inside ``[start, end)`` (Bernoulli per row, no shuffle)."""
-    return filter_by_ts(df, ts_column, start, end).sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_range(df: DataFrame, ts_column: str, start=None, end=None, fraction: float = 0.1, seed: int | None = None,
+                 key: list[Column] | None = None) -> DataFrame:
+    """ML12: a random subsample of the rows inside ``[start, end)``, no shuffle.
+
+    A row is in the sample by the MD5 of the seed and its ``key`` (by default all its columns), so the same
+    rows come back on any cluster, after any retry, and from any other engine; equal rows go together.
+    """
+    rows = filter_by_ts(df, ts_column, start, end)
+    key = key if key is not None else [F.col(c).cast("string") for c in df.columns]
+    text = F.concat_ws("|", F.lit(str(seed or 0)), *[F.coalesce(c.cast("string"), F.lit("")) for c in key])
+    bound = format(min(int(fraction * (1 << 32)), (1 << 32) - 1), "08x")
+    return rows.where(F.substring(F.md5(text), 1, 8) < F.lit(bound))
 
 
 @dataclass(frozen=True)

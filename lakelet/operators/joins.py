@@ -1,62 +1,18 @@
-"""Join helpers: a proven size bound before any broadcast, salting for hot keys (JN1-JN4).
+"""Join helpers: salting for hot keys (JN1-JN4).
 
-* A side is broadcast only when ``rows x estimated row width`` is under
-  ``spark.sql.autoBroadcastJoinThreshold``, with ``rows`` known exactly (a table's
-  recorded count, or a parquet count answered from file footers).
-* Otherwise both sides shuffle.  In batch queries AQE can still split a skewed
-  partition; micro-batches get no AQE, so a hot key is spread explicitly: the big
-  side gets a deterministic salt in ``[0, n)`` and the keyed small side is
-  replicated once per salt, so each big-side row still meets its match once.
+No side carries a broadcast hint: Spark decides from file sizes and, in batch queries, from what it
+measures, and splits skewed partitions.  Micro-batches get no such help, so a hot key is spread
+explicitly: the big side gets a deterministic salt in ``[0, n)`` and the keyed small side is replicated
+once per salt, so each big-side row still meets its match once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SALT = "_salt"
 
-_FIXED = {
-    T.BooleanType: 1,
-    T.ByteType: 1,
-    T.ShortType: 2,
-    T.IntegerType: 4,
-    T.FloatType: 4,
-    T.DateType: 4,
-    T.LongType: 8,
-    T.DoubleType: 8,
-    T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-}
-_VARIABLE = 48  # assumed bytes of a string / binary / nested value
-
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    return sum(_FIXED.get(type(f.dataType), _VARIABLE) for f in schema.fields) + 16
-
-
-def broadcast_threshold(spark: SparkSession) -> int:
-    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20),
-                      ("g", 1 << 30), ("b", 1)):
-        if v.endswith(suffix):
-            try:
-                return int(float(v[: -len(suffix)]) * m)
-            except ValueError:
-                return 10485760
-    try:
-        return int(v)
-    except ValueError:
-        return 10485760
-
-
-def fits_broadcast(spark: SparkSession, rows: int | None, schema: T.StructType) -> bool:
-    """True only for a known row count whose estimated size is under the threshold."""
-    limit = broadcast_threshold(spark)
-    return rows is not None and limit > 0 and rows * estimated_row_bytes(schema) <= limit
-
-
 def with_salt(df: DataFrame, n: int, *cols: str | Column) -> DataFrame:
     """Deterministic salt in [0, n) from the row's own values (same place on replay)."""
     if n <= 1:
@@ -71,13 +27,13 @@ def replicate_salts(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
-def snapshot_side(spark: SparkSession, snapshot: DataFrame, salt_buckets: int) -> tuple[DataFrame, int]:
-    """The small side of a stream-static join: broadcast if its counted size allows, else salted.
+def salt_buckets(spark: SparkSession) -> int:
+    """Salts for a key that may hold a third of all rows: as many as the session's shuffle partitions,
+    so that such a key spreads over all tasks."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
 
-    Returns the side (with a ``_salt`` column) and the number of salts the stream
-    side must use.  The count of a parquet snapshot is answered from footers.
-    """
-    rows = snapshot.count()
-    if fits_broadcast(spark, rows, snapshot.schema):
-        return F.broadcast(replicate_salts(snapshot, 1)), 1
-    return replicate_salts(snapshot, salt_buckets), salt_buckets
+def snapshot_side(snapshot: DataFrame, buckets: int) -> DataFrame:
+    """The static side of a stream-static join, once per salt.  Spark broadcasts it where its files are
+    small by measured size; else both sides shuffle on key and salt."""
+    return replicate_salts(snapshot, buckets)

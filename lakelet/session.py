@@ -3,13 +3,12 @@
 Everything that must outlive a task (stream checkpoints, staged tables, feature
 tables written by examples) lives under ``spark.checkpoint.dir``: on a cluster that
 setting names a shared folder (HDFS, object store), so nothing here ever writes to a
-machine-local temporary folder.  Only when the setting is absent -- a unit test on a
-laptop -- do we create a private folder and record it in the session.
+machine-local temporary folder.  Only when the setting is absent on a local master -- a
+unit test on a laptop -- do we create a private folder and record it in the session.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -42,7 +41,6 @@ def get_spark(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -51,19 +49,21 @@ def get_spark(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    shared_dir(spark)
     return spark
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Return a path under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session.  If it is unset (tests) a
-    private folder is created once and written back to the session and the
-    SparkContext, so ``DataFrame.checkpoint()`` uses the same place.
+    Reads ``spark.checkpoint.dir`` from the session.  If it is unset and the master is
+    ``local`` (tests) a private folder is created once and written back to the session
+    and the SparkContext, so ``DataFrame.checkpoint()`` uses the same place.  On any other
+    master executors could not see such a folder, so the setting is required.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="lakelet-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
     sc = spark.sparkContext
@@ -76,12 +76,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint root for one run of a job."""
     return shared_dir(spark, "runs", f"{label}-{uuid.uuid4().hex[:12]}")
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so the path can be listed from Python in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def sf_dir_default() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

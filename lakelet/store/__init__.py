@@ -1,3 +1,3 @@
-from lakelet.store.feature_store import FeatureLookup, FeatureStore, TrainingSet, upsert_partitioned
+from lakelet.store.feature_store import FeatureLookup, FeatureStore, TrainingSet
 
-__all__ = ["FeatureLookup", "FeatureStore", "TrainingSet", "upsert_partitioned"]
+__all__ = ["FeatureLookup", "FeatureStore", "TrainingSet"]

@@ -2,16 +2,15 @@
 
 Layout under one root folder (by default ``<spark.checkpoint.dir>/lakelet/feature_store``):
 
-* ``tables/<name>-<id>/yyyy_mm=.../*.parquet`` -- the data, partitioned as declared
+* ``tables/<name>-<id>/`` -- the data, partitioned as declared, in folders that a
+  manifest publishes (``versions``): a change is visible whole or not at all
 * ``_meta/`` -- one parquet row per table version: keys, partitions, description,
   schema, row count.  Discovery (ML10) is a query over it.
-* ``_staging/`` -- new batches are written here first, which cuts their lineage,
-  lets the key check run on the written rows instead of recomputing them, and
-  keeps the table untouched until the batch is known to be valid.
+* ``_staging/`` -- new batches are written here first, which cuts their lineage.
 
-There is no MERGE on parquet; the keyed upsert is ``left_anti`` + ``unionByName`` +
-dynamic partition overwrite, restricted to the partitions the batch touches, so
-its cost follows the size of the change rather than of the table.
+There is no MERGE on parquet; the keyed upsert unites the batch with the partitions it
+touches, groups by key (one exchange checks and merges) and publishes the rewritten
+partitions, so its cost follows the size of the change rather than of the table.
 """
 
 from __future__ import annotations
@@ -25,8 +24,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelet.operators.joins import fits_broadcast
 from lakelet.session import shared_dir
+from lakelet.store.versions import VersionedTable, ensure_table
 
 _META_SCHEMA = T.StructType(
     [
@@ -92,38 +91,72 @@ def _partition_filter(partition_columns: list[str], touched: list[tuple]):
     return cond
 
 
-def upsert_partitioned(
-    spark: SparkSession,
-    path: str,
-    batch: DataFrame,
-    keys: list[str],
-    partition_columns: list[str],
-    touched: list[tuple] | None = None,
+def touched_partitions(
+    table: VersionedTable, batch: DataFrame, keys: list[str], partition_expr: dict[str, str] | None = None
+) -> list[tuple]:
+    """Partition values that a merge of ``batch`` must rewrite (bounded by the partitions, not by rows).
+
+    A key may not sit in two partitions.  Where partition columns are key columns, or are computed from
+    them by a recorded expression (verified here on every row), a key never moves and the batch's own
+    partitions are enough.  Else the partitions in which the batch's keys sit now belong to it, too.
+    """
+    parts = table.parts
+    cols = [F.col(p) for p in parts]
+    if partition_expr:
+        wrong = F.max(F.when(~F.expr(" AND ".join(f"({e}) <=> `{c}`" for c, e in partition_expr.items())), 1).otherwise(0))
+        seen = batch.groupBy(*parts).agg(wrong.alias("_wrong")).collect()
+        if any(r["_wrong"] for r in seen):
+            raise ValueError(f"rows of the batch are not in the partition that {partition_expr} gives")
+        return [tuple(r[p] for p in parts) for r in seen]
+    touched = {tuple(r) for r in batch.select(*cols).distinct().collect()}
+    if touched and not set(parts) <= set(keys):
+        old = table.read()
+        moved = old.join(batch.select(*keys), _null_safe_keys(old, batch, keys), "left_semi").select(*cols).distinct()
+        touched |= {tuple(r) for r in moved.collect()}
+    return list(touched)
+
+
+def merge_versioned(
+    table: VersionedTable, batch: DataFrame, keys: list[str], partition_expr: dict[str, str] | None = None
 ) -> None:
-    """SK10: keyed upsert of ``batch`` into the partitioned parquet table at ``path``.
+    """SK10: keyed upsert of ``batch`` (already written somewhere, it is scanned twice).
 
-    ``batch`` must already be materialized (a read of written files), since it is
-    scanned twice.  Partition columns must be functions of the keys (a key never
-    moves partition), so only the partitions present in the batch are read and
-    rewritten; the others keep their files untouched.  Keys compare null-safe.
+    One exchange on the keys serves check and merge: old rows of the touched partitions and the batch are
+    united with a source flag and grouped by key; the batch's row wins, and a key that the batch holds
+    twice stops the merge before anything is published.  Keys compare null-safe, as in any grouping.
     """
-    if not partition_columns:
-        raise ValueError("a partitioned table is required; use overwrite for unpartitioned ones")
-    if touched is None:
-        # bounded by the number of partitions the batch touches (e.g. months), not by rows
-        touched = [tuple(r) for r in batch.select(*partition_columns).distinct().collect()]
-    if not touched:
-        return
-    existing = spark.read.schema(batch.schema).parquet(path)
-    pruned = existing.where(_partition_filter(partition_columns, touched))
-    kept = pruned.join(batch.select(*keys), _null_safe_keys(pruned, batch, keys), "left_anti")
-    merged = kept.unionByName(batch.select(*existing.columns))
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_columns)
-        .parquet(path)
-    )
+    cols = table.schema.fieldNames()
+    old = table.read()
+    if table.parts:
+        touched = touched_partitions(table, batch, keys, partition_expr)
+        if not touched:
+            return
+        old = old.where(_partition_filter(table.parts, touched))
+    united = old.select(*cols, F.lit(0).alias("_new")).unionByName(batch.select(*cols, F.lit(1).alias("_new")))
+    row = F.struct(*[F.col(c) for c in cols])
+    merged = united.groupBy(*keys).agg(F.max_by(row, "_new").alias("_row"), F.sum("_new").alias("_n"))
+    obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
+    written = table.write(merged.observe(obs, F.max("_n").alias("most")).select("_row.*"))
+    if (obs.get["most"] or 0) > 1:
+        table.discard(written)
+        raise DuplicateKeyError(f"duplicate primary keys {keys}")
+    keep = table.entries() if table.parts else {}
+    if table.parts and not set(table.parts) <= set(keys) and not partition_expr:
+        # a partition whose last key moved away has no file in the new folder: it is gone
+        gone = {e for e in keep if e not in written and e in _partition_names(table, touched)}
+        keep = {e: f for e, f in keep.items() if e not in gone}
+    table.publish({**keep, **written})
+
+
+def _partition_names(table: VersionedTable, touched: list[tuple]) -> set[str]:
+    """Folder names of partition values, as the live table spells them."""
+    from urllib.parse import unquote
+
+    def spelt(name: str) -> tuple:
+        return tuple(None if (v := unquote(x.split("=", 1)[1])) == "__HIVE_DEFAULT_PARTITION__" else v for x in name.split("/"))
+
+    wanted = {tuple(None if v is None else str(v) for v in t) for t in touched}
+    return {e for e in table.entries() if spelt(e) in wanted}
 
 
 @dataclass(frozen=True)
@@ -165,8 +198,7 @@ class FeatureStore:
         self.root = (root or shared_dir(spark, "feature_store")).rstrip("/")
         self.meta_path = f"{self.root}/_meta"
         self._specs: dict[str, dict] = {}  # latest spec of tables this instance wrote or read
-        # an empty typed append creates the folder (or adds nothing), so reads never miss it
-        spark.createDataFrame([], _META_SCHEMA).coalesce(1).write.mode("append").parquet(self.meta_path)
+        ensure_table(spark, self.meta_path, _META_SCHEMA)
 
     # ---- metadata -------------------------------------------------------
     def _meta(self) -> DataFrame:
@@ -219,16 +251,18 @@ class FeatureStore:
         if exists:
             raise ValueError(f"feature table {name!r} already exists")
         path = f"{self.root}/tables/{name}-{uuid.uuid4().hex[:8]}"
+        table = VersionedTable(self.spark, path, df.schema, parts)
         obs = Observation(f"create_{uuid.uuid4().hex[:8]}")
-        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
-        if parts:
-            writer = writer.partitionBy(*parts)
-        writer.parquet(path)
-        written = self.spark.read.parquet(path)
+        written = table.write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+        table.publish(written)
         try:
-            check_keys(written.select(*keys, *parts), keys, parts)
-        except DuplicateKeyError as e:
-            raise DuplicateKeyError(f"{e} in the rows for {name!r}; table not registered") from None
+            stored = table.read().select(*keys, *[p for p in parts if p not in keys])
+            check_keys(stored, keys, parts)
+            if partition_expr:
+                touched_partitions(table, stored, keys, partition_expr)
+        except ValueError as e:
+            table.discard(written)
+            raise type(e)(f"{e} in the rows for {name!r}; table not registered") from None
         spec = {
             "name": name,
             "path": path,
@@ -249,39 +283,43 @@ class FeatureStore:
         keys, parts, path = list(spec["primary_keys"]), list(spec["partition_columns"]), spec["path"]
         # one staging slot per table, overwritten by each write: a stage is only read by
         # its own upsert, and one writer per table is the rule, so storage stays bounded
+        table = self._table(spec)
         staging = f"{self.root}/_staging/{name}"
-        df.select(*self.spark.read.parquet(path).columns).write.mode("overwrite").parquet(staging)
-        batch = self.spark.read.parquet(staging)
+        df.select(*table.schema.fieldNames()).write.mode("overwrite").parquet(staging)
+        batch = self.spark.read.schema(table.schema).parquet(staging)
+        exprs = json.loads(spec["partition_expr_json"]) if spec.get("partition_expr_json") else None
         try:
-            touched = check_keys(batch.select(*keys, *parts), keys, parts)
+            if mode == "merge":
+                merge_versioned(table, batch, keys, exprs)
+            elif mode == "overwrite":
+                check_keys(batch.select(*keys, *[p for p in parts if p not in keys]), keys, parts)
+                if exprs:
+                    touched_partitions(table, batch, keys, exprs)
+                table.publish(table.write(batch))
+            else:
+                raise ValueError("mode must be 'merge' or 'overwrite'")
         except DuplicateKeyError as e:
             raise DuplicateKeyError(f"{e} in the batch for {name!r}; table unchanged") from None
-        if mode == "merge":
-            if parts:
-                upsert_partitioned(self.spark, path, batch, keys, parts, touched)
-            else:
-                # unpartitioned: the whole table is the one touched partition
-                old = self.spark.read.parquet(path)
-                kept = old.join(batch.select(*keys), _null_safe_keys(old, batch, keys), "left_anti")
-                path = f"{self.root}/tables/{name}-{uuid.uuid4().hex[:8]}"
-                kept.unionByName(batch).write.parquet(path)
-        elif mode == "overwrite":
-            path = f"{self.root}/tables/{name}-{uuid.uuid4().hex[:8]}"
-            w = batch.write
-            if parts:
-                w = w.partitionBy(*parts)
-            w.parquet(path)
-        else:
-            raise ValueError("mode must be 'merge' or 'overwrite'")
-        # row count from parquet footers only (no data pages read): a proven size bound for lookups
-        rows = self.spark.read.parquet(path).count()
+        # row count from parquet footers only (no data pages read)
+        rows = table.read().count()
         new = dict(spec, path=path, row_count=int(rows), version=int(spec["version"]) + 1)
         new.pop("written_at", None)
         self._record(new)
         return new
 
+    def _table(self, spec: dict) -> VersionedTable:
+        schema = T.StructType.fromJson(json.loads(spec["schema_json"]))
+        return VersionedTable(self.spark, spec["path"], schema, list(spec["partition_columns"]))
+
     def read_table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.get_table(name)["path"])
+        return self._table(self.get_table(name)).read()
+
+    def publish_views(self, schema: str | None = None) -> list[str]:
+        """Feature tables by SQL name: a temporary view of each table (``name``, or ``schema_name``)."""
+        names = [r["name"] for r in self.search().select("name").collect()]  # one row per table
+        for n in names:
+            self.read_table(n).createOrReplaceTempView(f"{schema}_{n}" if schema else n)
+        return names
 
     # ---- lookups --------------------------------------------------------
     def _lookup_side(self, lookup: FeatureLookup, df: DataFrame | None = None) -> DataFrame:
@@ -289,8 +327,7 @@ class FeatureStore:
         keys = list(spec["primary_keys"])
         if len(keys) != len(lookup.lookup_key):
             raise ValueError(f"{lookup.table_name}: lookup_key has {len(lookup.lookup_key)} columns, table keys {keys}")
-        table = self.spark.read.parquet(spec["path"])
-        rows = spec["row_count"]
+        table = self._table(spec).read()
         exprs = json.loads(spec["partition_expr_json"]) if spec.get("partition_expr_json") else None
         if df is not None and exprs:
             # the partitions the input can match: the recorded expressions evaluated on the
@@ -299,20 +336,15 @@ class FeatureStore:
             parts = list(exprs)
             wanted = [tuple(r) for r in as_keys.select(*[F.expr(exprs[c]).alias(c) for c in parts]).distinct().collect()]
             table = table.where(_partition_filter(parts, wanted)) if wanted else table.limit(0)
-            rows = table.count()  # footer-only count of the pruned partitions: a proven bound
-        side = table.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *lookup.feature_names)
-        if fits_broadcast(self.spark, rows, side.schema):
-            # size proven from the recorded (or pruned) row count
-            side = F.broadcast(side)
-        return side
+        return table.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *lookup.feature_names)
 
     def lookup(self, df: DataFrame, lookups: list[FeatureLookup], prune_partitions: bool = False) -> DataFrame:
         """JN3: one LEFT equi-join per lookup, chained; every input row is kept once.
 
         The table side is unique on its keys (checked at write), so no input row is
-        duplicated.  A side whose recorded size is under the broadcast threshold is
-        broadcast; otherwise Spark shuffles both sides and AQE may still switch to a
-        broadcast from measured sizes, or split a skewed key's partition.
+        duplicated.  Spark chooses the join from file and measured sizes.  Input rows with a
+        NULL key cannot match; in a shuffle they would all meet in one task, so their key is
+        replaced by a spread value beside the join and they keep NULL features.
 
         ``prune_partitions`` (for tables created with ``partition_expr``) first lists
         the partitions the input's keys fall in -- one extra pass over the input's
@@ -322,11 +354,17 @@ class FeatureStore:
         out = df
         for lu in lookups:
             side = self._lookup_side(lu, df if prune_partitions else None)
-            cond = None
+            missing = out[lu.lookup_key[0]].isNull()
+            for k in lu.lookup_key[1:]:
+                missing = missing | out[k].isNull()
+            # a second key part: 0 where all keys are there, else spread over negative numbers
+            spread = F.when(missing, -1 - F.pmod(F.xxhash64(*[out[c] for c in out.columns]), F.lit(1 << 20))).otherwise(F.lit(0))
+            out = out.withColumn("__spread", spread)
+            side = side.withColumn("__zero", F.lit(0).cast("long"))
+            cond = out["__spread"] == side["__zero"]
             for i, k in enumerate(lu.lookup_key):
-                c = out[k] == side[f"__key{i}"]
-                cond = c if cond is None else cond & c
-            out = out.join(side, cond, "left").drop(*[f"__key{i}" for i in range(len(lu.lookup_key))])
+                cond = cond & (out[k] == side[f"__key{i}"])
+            out = out.join(side, cond, "left").drop("__spread", "__zero", *[f"__key{i}" for i in range(len(lu.lookup_key))])
         return out
 
     def create_training_set(

@@ -6,7 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from lakelet.session import local_path, new_run_dir
+from lakelet.session import new_run_dir
 from lakelet.store.feature_store import DuplicateKeyError, FeatureLookup, FeatureStore
 
 SCHEMA = "zip long, ts int, yyyy_mm string, v double"
@@ -18,7 +18,7 @@ def _store(spark):
 
 def _files(path):
     out = {}
-    for root, _, files in os.walk(local_path(path)):
+    for root, _, files in os.walk(path.removeprefix("file:")):
         for f in files:
             if f.endswith(".parquet"):
                 p = os.path.join(root, f)
@@ -97,14 +97,65 @@ def test_search_and_overwrite(spark):
     assert st.read_table(name).where(F.col("zip") == 9).count() == 1
 
 
-def test_broadcast_only_under_proven_bound(spark):
-    from lakelet.operators.joins import estimated_row_bytes, fits_broadcast
+def test_moved_key_leaves_no_second_row(spark):
+    """Without a recorded expression a key may come back in another partition: the old row goes."""
+    st = _store(spark)
+    st.create_table("m", ["zip", "ts"], spark.createDataFrame([(1, 100, "2024-01", 1.0), (2, 100, "2024-01", 2.0), (7, 7, "2023-12", 7.0)], SCHEMA), "yyyy_mm")
+    st.write_table("m", spark.createDataFrame([(1, 100, "2024-02", 10.0), (7, 7, "2024-02", 70.0)], SCHEMA), mode="merge")
+    got = sorted((r.zip, r.yyyy_mm, r.v) for r in st.read_table("m").collect())
+    assert got == [(1, "2024-02", 10.0), (2, "2024-01", 2.0), (7, "2024-02", 70.0)]
+
+
+def test_partition_rule_is_verified(spark):
+    st = _store(spark)
+    month = {"yyyy_mm": "CASE WHEN ts < 200 THEN '2024-01' ELSE '2024-02' END"}
+    good = spark.createDataFrame([(1, 100, "2024-01", 1.0)], SCHEMA)
+    bad = spark.createDataFrame([(1, 100, "2024-02", 2.0)], SCHEMA)
+    st.create_table("e", ["zip", "ts"], good, "yyyy_mm", partition_expr=month)
+    with pytest.raises(ValueError):
+        st.write_table("e", bad, mode="merge")
+    with pytest.raises(ValueError):
+        st.create_table("e2", ["zip", "ts"], bad, "yyyy_mm", partition_expr=month)
+    assert [tuple(r) for r in st.read_table("e").collect()] == [(1, 100, "2024-01", 1.0)]
+
+
+def test_write_broken_before_publishing_changes_nothing(spark, monkeypatch):
+    from lakelet.store.versions import VersionedTable
+
+    st = _store(spark)
+    st.create_table("b", ["zip", "ts"], spark.createDataFrame([(1, 100, "2024-01", 1.0), (2, 100, "2024-01", 2.0)], SCHEMA), "yyyy_mm")
+    batch = spark.createDataFrame([(1, 100, "2024-01", 10.0)], SCHEMA)
+
+    def die(self, entries):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "publish", die)
+        with pytest.raises(OSError):
+            st.write_table("b", batch, mode="merge")
+    assert sorted(r.v for r in st.read_table("b").collect()) == [1.0, 2.0]
+    st.write_table("b", batch, mode="merge")
+    assert sorted(r.v for r in st.read_table("b").collect()) == [2.0, 10.0]
+
+
+def test_views_and_no_empty_files(spark):
+    st = _store(spark)
+    st.create_table("by_name", ["zip", "ts"], spark.createDataFrame([(1, 100, "2024-01", 1.0)], SCHEMA), "yyyy_mm")
+    n = len(_files(st.meta_path))
+    FeatureStore(spark, st.root)
+    assert len(_files(st.meta_path)) == n
+    assert st.publish_views("feats") == ["by_name"]
+    assert spark.sql("SELECT v FROM feats_by_name WHERE zip = 1").first().v == 1.0
+
+
+def test_shared_folder_is_required_off_local_masters():
+    from types import SimpleNamespace
+
+    from lakelet.session import shared_dir
 
-    schema = spark.createDataFrame([], SCHEMA).schema
-    assert estimated_row_bytes(schema) > 0
-    assert not fits_broadcast(spark, None, schema)
-    assert fits_broadcast(spark, 10, schema)
-    assert not fits_broadcast(spark, 10**9, schema)
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(fake)
 
 
 def test_upsert_into_null_partition_keeps_other_rows(spark):
