@@ -15,18 +15,18 @@ NEW_YORK = "America/New_York"  # fixed value, as in timefns
 
 
 @pandas_udf("int")
-def is_weekend_udf(ts: pd.Series) -> pd.Series:
+def weekend_flag(ts: pd.Series) -> pd.Series:
     local = pd.to_datetime(ts).dt.tz_localize("UTC").dt.tz_convert(NEW_YORK)
     return (local.dt.weekday >= 5).astype("int32")
 
 
 @pandas_udf("string")
-def partition_id_udf(ts: pd.Series) -> pd.Series:
+def month_text(ts: pd.Series) -> pd.Series:
     return pd.to_datetime(ts).dt.strftime("%Y-%m")
 
 
 @pandas_udf("int")
-def rounded_unix_timestamp_udf(ts: pd.Series, minutes: pd.Series) -> pd.Series:
+def ceil_epoch(ts: pd.Series, minutes: pd.Series) -> pd.Series:
     us = pd.to_datetime(ts).astype("datetime64[us]").astype("int64")
     step = minutes.astype("int64") * 60 * 1_000_000
     return ((us + (-us) % step) // 1_000_000).astype("int32")

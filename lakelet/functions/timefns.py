@@ -122,3 +122,9 @@ def ceil_to_minutes_epoch(df: DataFrame, name: str, minutes: int) -> Column:
     # integer arithmetic: us + pmod(-us, step) is the next multiple of step (or us itself);
     # it is a whole number of seconds, so the division below is exact.
     return ((us + F.pmod(-us, F.lit(step))) / F.lit(1_000_000)).cast("long").cast("int")
+
+
+def utc_date(c: Column | str) -> Column:
+    """The UTC calendar date of an instant, whatever the session zone."""
+    seconds = F.unix_seconds(c if isinstance(c, Column) else F.col(c))
+    return F.date_from_unix_date(F.floor(seconds / F.lit(86400)).cast("int"))

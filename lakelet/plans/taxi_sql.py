@@ -93,3 +93,29 @@ PICKUP_FEATURES_COMPLETE = f"""WITH {TRIPS_CTE},
 {pickup_sql("2023-12-31 23:00:00", JAN_END)}
 SELECT * FROM pickup
 WHERE ts > CAST(epoch(TIMESTAMP '{JAN_START}') AS INTEGER) AND ts <= CAST(epoch(TIMESTAMP '{JAN_END}') AS INTEGER)"""
+
+TRIPS_SAMPLE = f"""WITH {TRIPS_CTE}
+SELECT * FROM trips
+WHERE tpep_pickup_datetime >= TIMESTAMP '{JAN_START}' AND tpep_pickup_datetime < TIMESTAMP '{MID_JAN}'
+  AND substr(md5('123|' || pickup_zip || '|' || dropoff_zip || '|' || epoch_us(tpep_pickup_datetime)), 1, 8) < '19999999'"""
+
+SCORE_BATCH = TRAINING_SET.replace("SELECT t.fare_amount,", "SELECT true AS predicted, t.rounded_pickup_datetime, t.rounded_dropoff_datetime, t.fare_amount,")
+
+FEATURE_CATALOG = f"""WITH {TRIPS_CTE},
+{merged_sql('pickup', 'pk')},
+{merged_sql('dropoff', 'dk')}
+SELECT 'trip_pickup_features' AS name, 'Hourly fares and trips by pickup zip, every quarter hour' AS description, 'zip,ts' AS primary_keys,
+       'yyyy_mm' AS partition_columns, count(*) AS row_count, CAST(2 AS BIGINT) AS version FROM pk
+UNION ALL
+SELECT 'trip_dropoff_features', 'Half-hourly trips by drop-off zip, with a weekend flag', 'zip,ts', 'yyyy_mm', count(*), 2 FROM dk"""
+
+UPSERT_TWO_MONTHS = f"""WITH {TRIPS_CTE},
+{pickup_sql()},
+later AS (
+  SELECT zip, CAST(ts + 31 * 86400 AS INTEGER) AS ts, strftime(make_timestamp((CAST(ts AS BIGINT) + 31 * 86400) * 1000000), '%Y-%m') AS yyyy_mm,
+         mean_fare_window_1h_pickup_zip, count_trips_window_1h_pickup_zip
+  FROM pickup)
+SELECT zip, ts, yyyy_mm, mean_fare_window_1h_pickup_zip,
+       CAST(count_trips_window_1h_pickup_zip + CASE WHEN ts >= epoch(TIMESTAMP '{MID_JAN}') THEN 1000 ELSE 0 END AS INTEGER) AS count_trips_window_1h_pickup_zip
+FROM pickup p WHERE NOT EXISTS (SELECT 1 FROM later l WHERE l.zip = p.zip AND l.ts = p.ts)
+UNION ALL SELECT * FROM later"""

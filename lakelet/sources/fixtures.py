@@ -9,10 +9,12 @@ and scales with its source tables.  Mapping rules (documented in FIXTURES.md):
                                distance = k / 10
 * sales orders    <- orders + customer + lineitem: one JSON object per order with
                                an ``ordered_products`` array; pending orders
-                               (status 'P') carry no order number yet
+                               (status 'P') carry no order number yet; every
+                               tenth order under a name no customer has
 * customers       <- customer + nation + region, every field as text
 * recordings      <- events:   mrn = user_id, device = event_id,
-                               heartrate = value - 20, time = epoch seconds
+                               heartrate = value - 20, time = epoch seconds;
+                               every tenth of a patient nobody knows
 * patients        <- customer: mrn = c_custkey, name = c_name
 * user pings      <- events:   user = user_id as text, ping = floor(value), time = ts
 """
@@ -29,6 +31,8 @@ from lakelet.sources.tables import sf_table
 DROPOFF_BASE_MINUTES = 5
 HEARTRATE_SHIFT = 20.0
 PENDING_STATUS = "P"
+MISS_EVERY = 10
+UNKNOWN_PATIENT = 1_000_000_000
 
 
 def _k(props: str = "props"):
@@ -76,7 +80,8 @@ def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = F.coalesce(F.col("ordered_products"), F.array().cast(items.schema["ordered_products"].dataType))
     return o.select(
         F.col("o_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
+        # every tenth order came in under another name: the left join finds no customer for it
+        F.when(F.col("o_orderkey") % MISS_EVERY == 0, F.concat("c_name", F.lit(" (moved)"))).otherwise(F.col("c_name")).alias("customer_name"),
         F.size(products).alias("number_of_line_items"),
         F.unix_timestamp("o_orderdate").cast("string").alias("order_datetime"),
         F.when(F.col("o_orderstatus") != F.lit(PENDING_STATUS), F.col("o_orderkey")).alias("order_number"),
@@ -106,7 +111,8 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     us = ntz_epoch_micros(F.col("ts"))
     return ev.select(
         F.col("event_id").cast("string").alias("device_id"),
-        F.col("user_id").cast("string").alias("mrn"),
+        # every tenth recording is of nobody known: the inner join drops it
+        (F.col("user_id") + F.when(F.col("event_id") % MISS_EVERY == 0, UNKNOWN_PATIENT).otherwise(0)).cast("string").alias("mrn"),
         (F.col("value") - F.lit(HEARTRATE_SHIFT)).cast("string").alias("heartrate"),
         (us / F.lit(1_000_000.0)).alias("time"),
     )

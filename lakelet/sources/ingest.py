@@ -1,20 +1,26 @@
 """Incremental file ingestion (SC4-SC9, ST1).
 
 A file stream needs its schema up front.  The schema is inferred once from the
-files already landed (optionally from a sample), hinted fields are overridden,
-and the result is saved next to the stream's checkpoint so that every later run
-reads with the same schema instead of re-inferring (and drifting).  New files
-are then picked up exactly once per checkpoint by Spark's file source.
+files already landed, hinted fields are overridden, and the result is saved next to
+the stream's checkpoint so that every later run reads with the same schema instead of
+re-inferring (and drifting).  New files are then picked up exactly once per checkpoint
+by Spark's file source.
+
+Nothing a file holds is lost without a trace: the column ``_rescued_data`` keeps fields
+that the schema does not know and lines that do not parse.  A CSV file whose header
+differs from the schema stops the stream.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+RESCUED = "_rescued_data"
+#: a micro-batch takes about so many bytes of new files at most (one larger file is taken alone)
+MAX_BYTES_PER_TRIGGER = 8 << 30
+
 
 def parse_hints(hints: str | dict[str, str] | None) -> dict[str, T.DataType]:
     """``"time DOUBLE, id LONG"`` or ``{"time": "double"}`` -> {name: type} (Spark DDL)."""
@@ -33,7 +39,6 @@ def infer_schema(
     header: bool = False,
     infer_types: bool = True,
     hints: str | dict[str, str] | None = None,
-    sampling_ratio: float | None = None,
     options: dict | None = None,
 ) -> T.StructType:
     """Schema of the landed files.
@@ -45,8 +50,6 @@ def infer_schema(
     Hints override the inferred type of the named fields.
     """
     reader = spark.read.options(**(options or {}))
-    if sampling_ratio:
-        reader = reader.option("samplingRatio", sampling_ratio)
     if fmt == "json":
         reader = reader.option("primitivesAsString", str(not infer_types).lower())
         schema = reader.json(path).schema
@@ -71,20 +74,16 @@ def infer_schema(
     return schema
 
 
-def saved_schema(spark: SparkSession, location: str, make) -> T.StructType:
-    """Load the schema saved at ``location``; on first use compute it with ``make()`` and save it.
-
-    Stored as one line of text through Spark, so the location can be any shared
-    file system the cluster uses.
-    """
-    # an empty append creates the folder on first use, so the read below never misses it
-    spark.createDataFrame([], "value string").coalesce(1).write.mode("append").text(location)
-    text = spark.read.text(location).first()
-    if text is not None:
-        return T.StructType.fromJson(json.loads(text[0]))
-    schema = make()
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
-    return schema
+def _json_lines(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The fields of JSON lines in ``value``, and what the schema has no place for."""
+    corrupt = "__corrupt"
+    full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    row = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    unknown = F.array_except(F.json_object_keys("value"), F.array(*[F.lit(n) for n in schema.fieldNames()]))
+    fields = F.from_json("value", "map<string,string>")
+    rescued = F.when(row[corrupt].isNotNull(), F.col("value")).when(
+        F.size(unknown) > 0, F.to_json(F.map_filter(fields, lambda k, _: F.array_contains(unknown, k))))
+    return [*[row[n].alias(n) for n in schema.fieldNames()], rescued.alias(RESCUED)]
 
 
 def incremental_source(
@@ -95,22 +94,27 @@ def incremental_source(
     *,
     header: bool = False,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER,
+    provenance: bool = False,
     options: dict | None = None,
 ) -> DataFrame:
     """A file stream: each new file under ``path`` is read once per checkpoint.
 
     ``max_files_per_trigger=1`` reproduces "one new file per load" (SC9) when
-    combined with an ``availableNow`` trigger.
+    combined with an ``availableNow`` trigger; else micro-batches are limited by bytes.
+    ``provenance`` puts ingest time and source file in front (SC8).
     """
-    r = spark.readStream.schema(schema).options(**(options or {}))
-    if fmt == "csv":
-        r = r.option("header", str(header).lower())
+    r = spark.readStream.options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.format(fmt).load(path)
-
-
-def with_provenance(df: DataFrame, time_col: str = "receipt_time", file_col: str = "source_file") -> DataFrame:
-    """SC8: ingest time and source file in front of the row's own columns."""
-    cols: list[Column] = [F.current_timestamp().alias(time_col), F.col("_metadata.file_path").alias(file_col)]
-    return df.select(*cols, "*")
+    elif max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
+    origin = [F.current_timestamp().alias("receipt_time"), F.col("_metadata.file_path").alias("source_file")] if provenance else []
+    if fmt == "json":
+        lines = r.text(path)
+        return lines.where(F.length(F.trim("value")) > 0).select(*origin, *_json_lines(lines, schema))
+    if fmt == "csv":
+        full = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+        r = r.option("header", str(header).lower()).option("enforceSchema", "false").option("columnNameOfCorruptRecord", RESCUED)
+        return r.schema(full).csv(path).select(*origin, "*")
+    return r.schema(schema).format(fmt).load(path).select(*origin, "*")

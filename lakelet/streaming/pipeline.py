@@ -2,11 +2,13 @@
 
 A pipeline has one storage location:
 
-* ``tables/<name>``        parquet output of each dataset
+* ``tables/<name>``        parquet output of each dataset (``table`` and ``aggregate``
+                           datasets as published versions: a change shows whole or not)
 * ``checkpoints/<name>``   stream checkpoints (exactly-once file sinks, join/agg state)
 * ``schemas/<name>``       schemas inferred once for file sources
 * ``system/events``        the run log: one row per micro-batch with the observed
-                           rule counts, queryable like any table (ST7)
+                           rule counts, written as batches commit, queryable like
+                           any table (ST7)
 
 Kinds of dataset:
 
@@ -15,7 +17,7 @@ Kinds of dataset:
                  its state store, emits changed groups per micro-batch (update
                  mode), and each batch is upserted by key into a table partitioned
                  on ``partition_by`` -- idempotent on replay, and each batch only
-                 rewrites the partitions it touches (ST3)
+                 rewrites the partitions it touches, then publishes them (ST3)
 * ``table``      recomputed in full from snapshots at each run (SK7)
 
 Every stream runs with ``trigger(availableNow=True)``: it processes what has
@@ -35,10 +37,13 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelet.operators.filters import Rule, apply_rules
-from lakelet.store.feature_store import upsert_partitioned
+from lakelet.sources.ingest import RESCUED
+from lakelet.store.feature_store import merge_versioned
+from lakelet.store.versions import VersionedTable, ensure_table, path_exists
 
 _HDFS_STATE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -83,6 +88,7 @@ class Dataset:
     comment: str = ""
     keys: list[str] = field(default_factory=list)  # aggregate: group keys
     partition_by: list[str] = field(default_factory=list)
+    rules_in_build: bool = False  # ``build`` applies the rules itself (``Pipeline.checked``), e.g. before a join
 
 
 class Pipeline:
@@ -100,9 +106,8 @@ class Pipeline:
         self.datasets = {d.name: d for d in datasets}
         self.order = [d.name for d in datasets]
         self._schemas: dict[str, T.StructType] | None = None
-        # empty typed appends create the system tables on first use (add nothing later)
-        spark.createDataFrame([], _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)
-        spark.createDataFrame([], _SCHEMAS_SCHEMA).coalesce(1).write.mode("append").parquet(self.schemas_path)
+        ensure_table(spark, self.events_path, _EVENTS_SCHEMA)
+        ensure_table(spark, self.schemas_path, _SCHEMAS_SCHEMA)
 
     # ---- paths and reads ----------------------------------------------
     def table_path(self, name: str) -> str:
@@ -133,6 +138,16 @@ class Pipeline:
             self._schemas[name] = schema
         return self._schemas[name]
 
+    def fixed(self, name: str, value: int) -> int:
+        """A number that a checkpoint's first run fixes for good: ``value`` then, the saved one later."""
+        fields = self.source_schema(f"fixed:{name}", lambda: T.StructType([T.StructField(str(value), T.LongType())]))
+        return int(fields.fieldNames()[0])
+
+    def checked(self, name: str, df: DataFrame) -> DataFrame:
+        """The dataset's rules applied to ``df`` and counted for the run log."""
+        rules = self.datasets[name].rules
+        return apply_rules(df, rules, f"rules_{name}" if rules else None)
+
     @property
     def events_path(self) -> str:
         return f"{self.storage}/system/events"
@@ -147,7 +162,19 @@ class Pipeline:
 
     def read(self, name: str) -> DataFrame:
         """``LIVE.x``: snapshot of a dataset as of now."""
-        return self.spark.read.parquet(self.table_path(name))
+        d = self.datasets[name]
+        if d.kind == "stream":
+            return self.spark.read.parquet(self.table_path(name))
+        return VersionedTable(self.spark, self.table_path(name), None, d.partition_by).read()
+
+    def publish_views(self, schema: str | None = None) -> list[str]:
+        """Datasets by SQL name: a temporary view (``name``, or ``schema_name``) of each that has been run."""
+        names = []
+        for name, d in self.datasets.items():
+            if path_exists(self.spark, self.table_path(name)):
+                self.read(name).createOrReplaceTempView(f"{schema}_{name}" if schema else name)
+                names.append(name)
+        return names
 
     def stream(self, name: str) -> DataFrame:
         """``STREAM(LIVE.x)``: rows of an append-only dataset not yet seen by the reader."""
@@ -161,14 +188,15 @@ class Pipeline:
     def run(self, only: list[str] | None = None) -> dict[str, int]:
         """Run every dataset (or ``only`` some) in declaration order; returns batches per dataset."""
         conf = self.spark.conf
-        conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
-        shuffle_partitions = conf.get("spark.sql.shuffle.partitions")
-        if conf.get("spark.sql.streaming.stateStore.providerClass", _HDFS_STATE) == _HDFS_STATE:
-            conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB_STATE)
-            conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        ours = {}
+        provider = "spark.sql.streaming.stateStore.providerClass"
+        if conf.get(provider, _HDFS_STATE) == _HDFS_STATE:
+            ours = {provider: _ROCKSDB_STATE, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+        before = {k: conf.get(k, None) for k in [*ours, "spark.sql.shuffle.partitions"]}
+        for k, v in ours.items():
+            conf.set(k, v)
         run_id = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         done = {}
-        log: list = []
         described = [
             (d.name, d.kind, d.comment, json.dumps({r.name: str(r.predicate) for r in d.rules}), self.table_path(d.name))
             for d in self.datasets.values()
@@ -182,18 +210,20 @@ class Pipeline:
                     continue
                 d = self.datasets[name]
                 if d.kind == "table":
-                    df = apply_rules(d.build(self), d.rules)
-                    w = df.write.mode("overwrite")
-                    if d.partition_by:
-                        w = w.partitionBy(*d.partition_by)
-                    w.parquet(self.table_path(name))
+                    df = d.build(self)
+                    df = df if d.rules_in_build else apply_rules(df, d.rules)
+                    table = VersionedTable(self.spark, self.table_path(name), df.schema, d.partition_by)
+                    table.publish(table.write(df))  # the whole table anew: partitions that are gone stay gone
                     done[name] = 1
                     continue
                 if self.state_partitions:
                     conf.set("spark.sql.shuffle.partitions", str(self.state_partitions))
                 df = d.build(self)
                 obs_name = f"rules_{name}"
-                df = apply_rules(df, d.rules, obs_name if d.rules else None)
+                if not d.rules_in_build:
+                    df = self.checked(name, df)
+                if not d.rules and RESCUED in df.columns:
+                    df = df.observe(obs_name, F.count(F.col(RESCUED)).alias("rows_rescued"))
                 if d.kind == "stream":
                     q = (
                         df.writeStream.format("parquet")
@@ -206,25 +236,19 @@ class Pipeline:
                     q = self._start_aggregate(d, df)
                 else:
                     raise ValueError(f"unknown dataset kind {d.kind!r}")
-                q.awaitTermination()
-                if q.exception():
-                    raise q.exception()
-                done[name] = self._log(log, name, run_id, q.recentProgress, obs_name)
+                done[name] = self._follow(q, name, run_id, obs_name)
         finally:
-            conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
-            # datasets that completed are logged even when a later one fails
-            if log:
-                self.spark.createDataFrame(log, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(
-                    self.events_path
-                )
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
         return done
 
     def _start_aggregate(self, d: Dataset, df: DataFrame):
         path = self.table_path(d.name)
         staging = f"{self.storage}/staging/{d.name}"
         keys, parts = list(d.keys), list(d.partition_by)
-        # an empty typed write creates the table folder on first run (adds nothing later)
-        self.spark.createDataFrame([], df.schema).write.mode("append").partitionBy(*parts).parquet(path)
+        table = VersionedTable(self.spark, path, df.schema, parts)
+        if not table.entries():
+            table.publish({})
 
         def upsert_batch(batch: DataFrame, batch_id: int) -> None:
             # stage the changed groups once (cuts the micro-batch lineage).  One slot,
@@ -232,8 +256,7 @@ class Pipeline:
             # replayed batch rewrites it and upserts the same values.
             stage = f"{staging}/current"
             batch.write.mode("overwrite").parquet(stage)
-            staged = self.spark.read.parquet(stage)
-            upsert_partitioned(self.spark, path, staged, keys, parts)
+            merge_versioned(table, self.spark.read.schema(df.schema).parquet(stage), keys)
 
         return (
             df.writeStream.outputMode("update")
@@ -243,18 +266,36 @@ class Pipeline:
             .start()
         )
 
-    def _log(self, rows: list, name: str, run_id: str, progress: list, obs_name: str) -> int:
-        n0 = len(rows)
+    def _follow(self, q, name: str, run_id: str, obs_name: str) -> int:
+        """Wait for a query and write the log rows of its batches as they commit, so that the log holds
+        what was committed even when a later batch, or the driver, fails."""
+        logged: set[int] = set()
+        try:
+            while not q.awaitTermination(1):
+                self._log(q, logged, name, run_id, obs_name)
+        finally:
+            self._log(q, logged, name, run_id, obs_name)
+        if q.exception():
+            raise q.exception()
+        return len(logged)
+
+    def _log(self, q, logged: set[int], name: str, run_id: str, obs_name: str) -> None:
+        rows = []
         now = datetime.now(timezone.utc)
-        for p in progress:
+        for p in q.recentProgress:
             p = json.loads(p.json) if hasattr(p, "json") else p
+            batch = int(p.get("batchId", -1))
+            # a batch that has not committed has no "addBatch" time; idle reports repeat the last number
+            if batch in logged or "addBatch" not in (p.get("durationMs") or {}):
+                continue
+            logged.add(batch)
             metrics = (p.get("observedMetrics") or {}).get(obs_name) or {}
             rows.append(
                 (
                     self.name,
                     name,
                     run_id,
-                    int(p.get("batchId", -1)),
+                    batch,
                     p.get("timestamp"),
                     int(p.get("numInputRows", 0)),
                     int(metrics["rows_seen"]) if metrics.get("rows_seen") is not None else None,
@@ -264,4 +305,5 @@ class Pipeline:
                     now,
                 )
             )
-        return len(rows) - n0
+        if rows:
+            self.spark.createDataFrame(rows, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)

@@ -59,14 +59,14 @@ def test_complete_windows_merge_exactly(spark, sf_small):
 
 
 def test_taxi_month_expression_matches_written_partitions(spark, sf_small):
-    from lakelet.plans.taxi import EXCLUDE_COLUMNS, LABEL, build_feature_tables, feature_lookups, rounded_taxi_data
+    from lakelet.plans.taxi import EXCLUDE_COLUMNS, LABEL, build_feature_tables, feature_lookups, lookup_keys
     from lakelet.session import new_run_dir
     from lakelet.store.feature_store import FeatureStore
 
     store = FeatureStore(spark, new_run_dir(spark, "test-prune"))
     trips = taxi_trips(spark, sf_small)
     p, d = build_feature_tables(spark, trips, store)
-    data = rounded_taxi_data(spark, trips, view=None)
+    data = lookup_keys(trips)
     full = store.create_training_set(data, feature_lookups(p, d), LABEL, EXCLUDE_COLUMNS).load_df()
     pruned = store.create_training_set(data, feature_lookups(p, d), LABEL, EXCLUDE_COLUMNS, prune_partitions=True).load_df()
     assert full.count() == pruned.count() == 1000

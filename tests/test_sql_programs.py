@@ -34,17 +34,28 @@ def test_ping_setup_load_reports(spark):
         spark.sql("USE IDENTIFIER(:d)", args={"d": current})
 
 
-def test_is_active_share(spark):
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION is_active_t() RETURNS BOOLEAN "
-              "RETURN CASE WHEN rand() > .25 THEN true ELSE false END")
-    n = spark.range(20000).where("is_active_t() = true").count()
-    assert 14000 < n < 16000
+def test_setup_is_repeatable_and_activity_share(spark):
+    schema = f"ping_again_{uuid.uuid4().hex[:6]}"
+    current = spark.catalog.currentDatabase()
+    try:
+        ping.setup(spark, schema, new_run_dir(spark, "ping-again"))
+        ping.setup(spark, schema)
+        assert sorted(r.user_id for r in spark.table("user_ids").collect()) == sorted(ping.USER_NAMES)
+        active = spark.range(20000).where("is_active()").count()
+        assert 14000 < active < 16000
+    finally:
+        spark.sql("USE IDENTIFIER(:d)", args={"d": current})
+
+
+def test_alert_plan_has_no_sort(spark, sf_small):
+    plan = ping.q_alert_rows(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.replace("SortAggregate", "")
 
 
 def test_small_sources(spark, sf_small):
-    v = values_view(spark, "demo_tmp_vw", ["name", "value"], [("Yi", 1), ("Ali", 2), ("Selina", 3)])
-    assert sorted(tuple(r) for r in spark.table("demo_tmp_vw").collect()) == [("Ali", 2), ("Selina", 3), ("Yi", 1)]
-    assert v.columns == ["name", "value"]
+    v = values_view(spark, "colours_v", ["colour", "weight"], [("red", 4), ("blue", 5)])
+    assert sorted(tuple(r) for r in spark.table("colours_v").collect()) == [("blue", 5), ("red", 4)]
+    assert v.columns == ["colour", "weight"]
     assert [r.id for r in number_sequence(spark, 16).collect()] == list(range(16))
     inv = file_inventory(spark, sf_small)
     assert inv.columns == ["path", "modificationTime", "length"]
@@ -57,16 +68,11 @@ def test_small_sources(spark, sf_small):
 
 
 def test_conf_substitution_and_scalar_query_function(spark):
-    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("dropoff_tbl_demo")
-    spark.conf.set("whatever.dropoff_feature_table_name", "dropoff_tbl_demo")
-    assert spark.sql("select * from ${whatever.dropoff_feature_table_name}").count() == 1
-    # the notebook declared FLOAT for a function returning a name; STRING is the working form
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION myTable() RETURNS STRING "
-        "RETURN SELECT '${whatever.dropoff_feature_table_name}' as x"
-    )
-    assert spark.sql("select myTable()").first()[0] == "dropoff_tbl_demo"
-    assert spark.sql("SELECT * FROM IDENTIFIER(:t)", args={"t": "dropoff_tbl_demo"}).count() == 1
+    spark.createDataFrame([(1,), (2,)], "n int").createOrReplaceTempView("two_rows_v")
+    spark.conf.set("lakelet.chosen_view", "two_rows_v")
+    assert spark.sql("SELECT sum(n) AS s FROM ${lakelet.chosen_view}").first().s == 3
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION largest_n() RETURNS INT RETURN SELECT max(n) FROM two_rows_v")
+    assert spark.sql("SELECT largest_n() AS m").first().m == 2
 
 
 def test_replace_table_from_source(spark, sf_small):
@@ -78,13 +84,13 @@ def test_replace_table_from_source(spark, sf_small):
 
 
 def test_name_scan_literal_row_and_temp_view(spark, sf_small):
-    from lakelet.plans.taxi import rounded_taxi_data
+    from lakelet.plans.taxi import lookup_keys
     from lakelet.sources.fixtures import taxi_trips
     from lakelet.sources.tables import literal_row, read_name
 
-    assert literal_row(spark, "SELECT \"I'm running SQL!\" AS msg").first().msg == "I'm running SQL!"
-    rounded_taxi_data(spark, taxi_trips(spark, sf_small))  # registers the view taxi_data
-    t = read_name(spark, "taxi_data")
+    assert literal_row(spark, "SELECT 'one row' AS msg").first().msg == "one row"
+    lookup_keys(taxi_trips(spark, sf_small), view="keyed_trips")
+    t = read_name(spark, "keyed_trips")
     assert "rounded_pickup_datetime" in t.columns and "tpep_pickup_datetime" not in t.columns
     assert t.count() == 1000
 
@@ -103,19 +109,3 @@ def test_registry_latest_version_defaults_to_one(spark):
 
     reg = ModelRegistry(spark, new_run_dir(spark, "test-registry"))
     assert reg.latest_version("never_logged") == 1
-
-
-def test_saved_schema_inferred_once(spark, sf_small):
-    from lakelet.sources.ingest import infer_schema, saved_schema
-
-    loc = f"{new_run_dir(spark, 'test-schema')}/schema"
-    calls = []
-
-    def make():
-        calls.append(1)
-        return infer_schema(spark, "parquet", f"{sf_small}/nation.parquet", hints="n_nationkey BIGINT")
-
-    first = saved_schema(spark, loc, make)
-    again = saved_schema(spark, loc, make)
-    assert first == again and len(calls) == 1
-    assert first["n_nationkey"].dataType.simpleString() == "bigint"

@@ -89,7 +89,7 @@ def test_vitals_stream_restarts_equal_batch(spark):
     assert bronze.columns[:2] == ["receipt_time", "source_file"]
     assert bronze.where(F.col("source_file").endswith(".json")).count() == bronze.count() == 5
     desc = {r.name: r for r in p2.describe().collect()}
-    assert desc["daily_patient_avg"].comment == "Daily mean heartrates by patient"
+    assert desc["daily_patient_avg"].comment == "Mean heart rate of each patient and UTC day"
     assert "heartrate > 0" in desc["recordings_enriched"].rules
 
     # the run log holds the rule counts: 5 enriched rows seen, 1 dropped by the rule
@@ -195,3 +195,79 @@ def test_failed_run_restores_conf_and_logs_completed_datasets(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert [(r.dataset, r.num_input_rows) for r in p.events().collect()] == [("raw", 1)]
     assert p.read("raw").count() == 1
+
+
+def _fails_on_third(spark, run, rec):
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    schema = spark.read.json(rec).schema
+
+    def strict(p):
+        df = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(rec)
+        return df.withColumn("rate", F.when(F.col("heartrate") == "bad", F.raise_error(F.lit("bad rate"))).otherwise(F.col("heartrate").cast("double")))
+
+    return Pipeline(spark, "t", f"{run}/storage", [Dataset("raw", strict, rules=[Rule("positive", "rate > 0")])])
+
+
+def test_batches_before_a_failing_one_are_logged(spark):
+    import time
+
+    run = new_run_dir(spark, "test-third")
+    rec = f"{run}/rec"
+    for rate in ("80", "-5", "bad"):
+        _land_json(spark, [("1", "1", rate, EPOCH_DAY1)], rec)
+        time.sleep(1.1)  # files are taken in the order of their times
+    p = _fails_on_third(spark, run, rec)
+    conf = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.numRecentProgressUpdates")}
+    with pytest.raises(Exception, match="bad rate"):
+        p.run()
+    assert {k: spark.conf.get(k, None) for k in conf} == conf
+    got = sorted((r.batch_id, r.rows_seen, r.rows_dropped) for r in p.events().collect())
+    assert got == [(0, 1, 0), (1, 1, 1)]
+
+
+def test_full_refresh_drops_partitions_that_are_gone(spark):
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    run = new_run_dir(spark, "test-refresh")
+    rows = [("A", 1), ("B", 2)]
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        p = Pipeline(spark, "t", f"{run}/s", [Dataset("t", lambda p: spark.createDataFrame(rows, "city string, n int"), kind="table", partition_by=["city"])])
+        p.run()
+        rows.pop()
+        p.run()
+        assert [tuple(r) for r in p.read("t").collect()] == [("A", 1)]
+        assert p.publish_views("ref") == ["t"] and spark.sql("SELECT count(*) AS n FROM ref_t").first().n == 1
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_system_tables_get_no_empty_files(spark):
+    import os
+
+    run = new_run_dir(spark, "test-empty")
+
+    def count():
+        return sum(f.endswith(".parquet") for _, _, fs in os.walk(f"{run}/x/system".removeprefix("file:")) for f in fs)
+
+    vitals_pipeline(spark, "r", "p", f"{run}/x")
+    n = count()
+    vitals_pipeline(spark, "r", "p", f"{run}/x")
+    assert count() == n
+
+
+def test_csv_with_another_header_stops_and_long_rows_are_kept(spark):
+    from lakelet.sources.ingest import RESCUED, incremental_source, infer_schema
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    run = new_run_dir(spark, "test-csv")
+    src = f"{run}/csv"
+    spark.createDataFrame([("a,b",), ("1,2",), ("3,4,5",)], "v string").coalesce(1).write.text(src)
+    schema = infer_schema(spark, "csv", src, header=True, infer_types=False)
+    p = Pipeline(spark, "t", f"{run}/s", [Dataset("c", lambda p: incremental_source(spark, "csv", src, schema, header=True))])
+    p.run()
+    assert sorted((r.a, r.b, r[RESCUED]) for r in p.read("c").collect()) == [("1", "2", None), ("3", "4", "3,4,5")]
+    spark.createDataFrame([("a,c",), ("1,2",)], "v string").coalesce(1).write.mode("append").text(src)
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        p.run()
