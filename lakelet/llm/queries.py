@@ -89,9 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 OP8_SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT DISTINCT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(d.e AS DOUBLE[])) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.e) = len(d.e)
@@ -102,4 +102,30 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE n <= 5
 """
 
-ORACLE: dict[str, str] = {"op8_covertree": OP8_SQL}
+# links by a join on shingles, components by reachability: for tables of a thousand documents or so
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE len(words) WHEN 0 THEN [] WHEN 1 THEN words
+    ELSE list_distinct([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) END AS shingles
+  FROM w
+), x AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), r(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM s
+  UNION
+  SELECT l.b, r.root FROM r JOIN l ON r.doc_id = l.a
+)
+SELECT s.doc_id, CAST(len(any_value(shingles)) AS BIGINT) AS n_shingles, min(root) AS component_id, s.doc_id = min(root) AS kept
+FROM s JOIN r ON r.doc_id = s.doc_id
+GROUP BY s.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op3_minhash_forest": OP3_SQL, "op8_covertree": OP8_SQL}
