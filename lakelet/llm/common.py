@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lakelet.session import new_run_dir
 
-#: characters of text that a Python task holds expanded at a time (one longer text is held alone)
-BATCH_CHARS = 2_000_000
+#: bytes of text that a Python task holds expanded at a time (one longer text is held alone)
+BATCH_BYTES = 1_000_000
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -29,7 +30,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{new_run_dir(spark, 'llm-' + label)}/t"
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished steps
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more (what was made of them is stored, too)."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,19 +72,19 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[d
     return df.mapInArrow(run, schema)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut Arrow batches into runs of rows with at most ``limit`` characters of text together.
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Cut Arrow batches into runs of rows with at most ``limit`` bytes of text together (or one row).
     Yields the rows and their texts, null as the empty text."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        lo = size = 0
-        for i, t in enumerate(texts):
-            if i > lo and size + len(t) > limit:
-                yield batch.slice(lo, i - lo), texts[lo:i]
-                lo, size = i, 0
-            size += len(t)
-        if lo < len(texts):
-            yield batch.slice(lo), texts[lo:]
+        column = batch.column(batch.schema.get_field_index(text))
+        size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto = np.cumsum(size)
+        lo = 0
+        while lo < batch.num_rows:
+            before = upto[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(upto, before + limit, side="right")))
+            yield batch.slice(lo, hi - lo), [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+            lo = hi
 
 
 def labelled_sample(labels: DataFrame, label: Column, train: Column, per_class: int, classes: list) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelet.llm.common import batch_words, map_arrow, slices, stored
+from lakelet.llm.common import batch_words, discard, map_arrow, slices, stored
 from lakelet.llm.components import components
 
 TREES, DEPTH = 20, 5
@@ -249,6 +249,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     second = stored(_confirm(stored(apart, "minhash-apart"), sets, num, den), "minhash-links")
     roots = components(first.unionByName(second)) if not second.isEmpty() else roots
 
+    discard(sets)
     named = classes.select("key", "rep").join(roots, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     smallest = stored(named.groupBy("root").agg(F.min("rep").alias("component_id")), "minhash-smallest")
     member = stored(stored(named, "minhash-named").join(smallest, "root").select("key", "component_id"), "minhash-members")

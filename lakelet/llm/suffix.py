@@ -40,9 +40,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelet.llm.common import map_arrow, slices, stored, substring_hashes
+from lakelet.llm.common import discard, map_arrow, slices, stored, substring_hashes
 
 GRAM = 8  # bytes whose hash chooses anchors
+BYTES = 400_000  # of text at a time, as every byte stands for several numbers here
 PARTS = 4  # a round parts the offsets into so many
 
 
@@ -108,7 +109,7 @@ def _joined(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
 def _cores(rows: DataFrame, length: int, span: int) -> DataFrame:
     """Round 0 names of all anchors, one row for each name and batch with how often it was seen."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for _, texts in slices(batches):
+        for _, texts in slices(batches, limit=BYTES):
             _, data, ends = _joined(texts)
             _, _, _, anchor = runs_of(data, ends, length, span)
             names, seen = np.unique(substring_hashes(data, anchor, length - span + 1).view(np.int64), return_counts=True)
@@ -120,7 +121,7 @@ def _cores(rows: DataFrame, length: int, span: int) -> DataFrame:
 def _anchors(rows: DataFrame, length: int, span: int) -> DataFrame:
     """One row per anchor: its round 0 name, the name of all bytes under its windows, and where it is."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, limit=BYTES):
             raw, data, ends = _joined(texts)
             owner, first, last, anchor = runs_of(data, ends, length, span)
             begin = np.append(0, ends[:-1])[owner]
@@ -162,28 +163,42 @@ def _repeated(df: DataFrame, name: str) -> DataFrame:
     return stored(df.groupBy(name).agg(F.count("*").alias("n")).where("n > 1").select(name), f"suffix-{name}")
 
 
-def _unsettled(rows: DataFrame, wholes: DataFrame) -> DataFrame:
-    """Rows that no other row settles, and one settled row of each class with the rank of such a row."""
-    rest = stored(rows.join(wholes, "whole", "left_anti"), "suffix-rest")
-    witness = rows.join(wholes, "whole", "left_semi").dropDuplicates(["whole"]).join(rest.select("core").distinct(), "core", "left_semi")
-    return rest.select(rows.columns).unionByName(witness.select(rows.columns))
+def _classes(rows: DataFrame) -> DataFrame:
+    """One row of every class of rows with the same bytes under all windows.  The count and the row are
+    partly summed before the shuffle, so a class with a third of all rows is no burden to one task."""
+    others = [c for c in rows.columns if c != "whole"]
+    found = rows.groupBy("whole").agg(F.count("*").alias("n"), F.first(F.struct(*others)).alias("row")).where("n > 1")
+    return stored(found.select("whole", "row.*").select(rows.columns), "suffix-whole")
+
+
+def _unsettled(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that no other row settles, and one settled row of each class with the rank of such a row.
+    Also the stored table that this reads."""
+    rest = stored(rows.join(classes.select("whole"), "whole", "left_anti"), "suffix-rest")
+    witness = classes.join(rest.select("core").distinct(), "core", "left_semi")
+    return rest.select(rows.columns).unionByName(witness.select(rows.columns)), rest
 
 
 def _span(length: int) -> Column:
     return F.struct((F.col("anchor") - F.col("high")).alias("lo"), (F.col("anchor") - F.col("low") + length).alias("hi"))
 
 
-def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, spans): for each row with repeats the byte ranges [lo, hi) that cover them (they may overlap)."""
+def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(id, th, spans): for each row with repeats the byte ranges [lo, hi) that cover them (they may
+    overlap); and the stored (doc_id, id, th, text) of all rows that may have some."""
     span = span_of(length)
     rows = _rows(docs, id_col, text_col)
     cores = stored(_cores(rows, length, span).groupBy("core").agg(F.sum("seen").alias("n")).where("n > 1").select("core"), "suffix-cores")
     active = stored(_anchors(rows, length, span).join(cores, "core", "left_semi"), "suffix-active")
-    wholes = _repeated(active, "whole")
-    found = [stored(active.join(wholes, "whole", "left_semi").select("id", "th", _span(length).alias("span")), "suffix-found")]
+    discard(cores)
+    # texts with ranks seen twice: the only ones read from here on
+    texts = stored(rows.join(active.select("id", "th").distinct(), ["id", "th"], "left_semi").select("doc_id", "id", "th", "text"), "suffix-texts")
+    wholes = _classes(active)
+    found = [stored(active.join(wholes.select("whole"), "whole", "left_semi").select("id", "th", _span(length).alias("span")).distinct(), "suffix-found")]
 
     # the others are edges of repeats (or common passages shorter than a window): fetch the bytes under their windows
-    edges = _unsettled(active, wholes).groupBy("id", "th").agg(F.collect_list(F.struct("anchor", "low", "high")).alias("anchors"))
+    unsettled, rest = _unsettled(active, wholes)
+    edges = unsettled.groupBy("id", "th").agg(F.collect_list(F.struct("anchor", "low", "high")).alias("anchors"))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -195,23 +210,32 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                        "anchor": [x["anchor"] for x in own], "low": [x["low"] for x in own], "high": [x["high"] for x in own],
                        "near": [raw[x["anchor"] - x["high"]:x["anchor"] - x["low"] + length] for x in own], "from_low": [x["high"] for x in own]}
 
-    texts = rows.select("id", "th", "text").join(edges, ["id", "th"]).select("id", "th", "text", "anchors")
-    items = stored(map_arrow(texts, near, "id long, th long, anchor long, low int, high int, near binary, from_low int").distinct(), "suffix-edges")
+    sides = texts.select("id", "th", "text").join(edges, ["id", "th"]).select("id", "th", "text", "anchors")
+    items = stored(map_arrow(sides, near, "id long, th long, anchor long, low int, high int, near binary, from_low int")
+                   .dropDuplicates(["id", "th", "anchor"]), "suffix-edges")
+    discard(active, wholes, rest)
     size = span // PARTS
     while not items.isEmpty():
         parts = stored(_parted(items, length, span, size), "suffix-parts")
-        wholes = _repeated(parts, "whole")
-        found.append(stored(parts.join(wholes, "whole", "left_semi").select("id", "th", _span(length).alias("span")), "suffix-found"))
+        wholes = _classes(parts)
+        found.append(stored(parts.join(wholes.select("whole"), "whole", "left_semi").select("id", "th", _span(length).alias("span")), "suffix-found"))
+        columns = items.columns
+        discard(items)
         if size == 1:
+            discard(parts, wholes)
             break
         cores = _repeated(parts, "core")
         again = stored(parts.join(cores, "core", "left_semi").select(parts.columns), "suffix-again")
-        items = stored(_unsettled(again, wholes).select(items.columns), "suffix-edges")
+        unsettled, rest = _unsettled(again, wholes)
+        items = stored(unsettled.select(columns), "suffix-edges")
+        discard(parts, wholes, cores, again, rest)
         size = max(1, size // PARTS)
     every = found[0]
     for f in found[1:]:
         every = every.unionByName(f)
-    return stored(every.distinct().groupBy("id", "th").agg(F.collect_list("span").alias("spans")), "suffix-spans")
+    spans = stored(every.distinct().groupBy("id", "th").agg(F.collect_list("span").alias("spans")), "suffix-spans")
+    discard(*found)
+    return spans, texts
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -233,29 +257,35 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, raw[at:]])
 
 
-def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    spans = repeated_spans(docs, length, id_col, text_col)
-    return _rows(docs, id_col, text_col).join(spans, ["id", "th"], "left").select("doc_id", "id", "th", "text", "spans")
-
-
 def removal_digests(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row of ``docs``."""
+    spans, texts = repeated_spans(docs, length, id_col, text_col)
+    schema = "doc_id long, id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch, texts in slices(batches):
-            raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-            runs = [merged(s or []) for s in batch.column(4).to_pylist()]
-            yield {"doc_id": batch.column(0), "n_bytes": [len(r) for r in raw], "n_removed": [sum(b - a for a, b in x) for x in runs],
-                   "n_spans": [len(x) for x in runs], "kept_sha256": [hashlib.sha256(kept_bytes(r, x)).hexdigest() for r, x in zip(raw, runs)]}
+        for batch, chunk in slices(batches):
+            raw = [t.encode("utf-8", "surrogatepass") for t in chunk]
+            runs = [merged(s or []) for s in (batch.column(4).to_pylist() if batch.num_columns > 4 else [None] * len(raw))]
+            yield {"doc_id": batch.column(0), "id": batch.column(1), "th": batch.column(2), "n_bytes": [len(r) for r in raw],
+                   "n_removed": [sum(b - a for a, b in x) for x in runs], "n_spans": [len(x) for x in runs],
+                   "kept_sha256": [hashlib.sha256(kept_bytes(r, x)).hexdigest() for r, x in zip(raw, runs)]}
 
-    return map_arrow(_with_spans(docs, length, id_col, text_col), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    columns = ["doc_id", "id", "th", "text"]
+    cut = map_arrow(texts.join(spans, ["id", "th"]).select(*columns, "spans"), run, schema)
+    # rows without repeats: their digests are joined, not their texts
+    whole = map_arrow(_rows(docs, id_col, text_col).select(columns), run, schema).join(spans.select("id", "th"), ["id", "th"], "left_anti")
+    return cut.unionByName(whole.select(cut.columns)).drop("id", "th")
 
 
 def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, kept): the text left of each row that has repeats; id and th as ``row_names`` gives them.
     Bytes of a character that was cut in two are dropped with it."""
+    spans, texts = repeated_spans(docs, length, id_col, text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch, texts in slices(batches):
-            yield {"id": batch.column(1), "th": batch.column(2),
-                   "kept": [kept_bytes(t.encode("utf-8", "surrogatepass"), merged(s)).decode("utf-8", "ignore") for t, s in zip(texts, batch.column(4).to_pylist())]}
+        for batch, chunk in slices(batches):
+            yield {"id": batch.column(0), "th": batch.column(1),
+                   "kept": [kept_bytes(t.encode("utf-8", "surrogatepass"), merged(s)).decode("utf-8", "ignore") for t, s in zip(chunk, batch.column(3).to_pylist())]}
 
-    return map_arrow(_with_spans(docs, length, id_col, text_col).where("spans is not null"), run, "id long, th long, kept string").distinct()
+    cut = texts.dropDuplicates(["id", "th"]).join(spans, ["id", "th"]).select("id", "th", "text", "spans")
+    return map_arrow(cut, run, "id long, th long, kept string")
