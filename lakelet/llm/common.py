@@ -163,11 +163,15 @@ def batch_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package where they would not find it: not installed, not on
-    PYTHONPATH, and the driver started elsewhere.  Spark itself serves the archive to the executors."""
+    PYTHONPATH, and the driver started elsewhere.  The archive goes to the shared folder."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
-    known = [os.path.abspath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p or p == os.getcwd()]
+    known = [os.path.abspath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p]
     if root in known or any(f.endswith("lakelet.zip") for f in sc.listFiles):
         return
+    target = f"{new_run_dir(spark, 'llm-code')}/lakelet.zip"
     with tempfile.TemporaryDirectory() as folder:
-        sc.addPyFile(shutil.make_archive(f"{folder}/lakelet", "zip", root, "lakelet"))
+        local = shutil.make_archive(f"{folder}/lakelet", "zip", root, "lakelet")
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        path(target).getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(path(f"file://{local}"), path(target))
+    sc.addPyFile(target)
