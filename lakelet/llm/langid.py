@@ -231,10 +231,34 @@ def fit_weights(words: Words, y: np.ndarray, langs: list[str], lexicon: np.ndarr
     return model
 
 
-def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 400, lexicon_words: int = 4000, longest: int = 20_000,
+def _lexicon(sample: DataFrame, langs: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in most of the sampled texts, and how each leans to each language."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch, texts in slices(batches):
+            lang = np.array([langs.index(g) for g in batch.column(1).to_pylist()])
+            words = Words.of(texts)
+            n = max(len(words.hashes), 1)
+            text = np.repeat(np.arange(len(texts)), np.diff(words.at))
+            pairs = np.unique(text * n + words.which)  # a text counts a word once
+            seen = np.zeros((len(words.hashes), len(langs)), dtype=np.int64)
+            np.add.at(seen, (pairs % n, lang[pairs // n]), 1)
+            yield {"word": words.hashes.view(np.int64), **{f"n{k}": seen[:, k] for k in range(len(langs))}}
+
+    names = [f"n{k}" for k in range(len(langs))]
+    counted = map_arrow(sample.select("text", "lang"), count, ", ".join(["word long", *[f"{c} long" for c in names]]))
+    total = counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in names]).withColumn("n", sum((F.col(c) for c in names), F.lit(0)))
+    rows = total.orderBy(F.desc("n"), "word").limit(size).collect()
+    hashes = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
+    lean = np.log(np.array([[r[c] for c in names] for r in rows], dtype=float).reshape(-1, len(langs)) + 0.5)
+    order = np.argsort(hashes)
+    return hashes[order], (lean - lean.mean(1, keepdims=True)).clip(-4, 4)[order]
+
+
+def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 200, lexicon_words: int = 4000, longest: int = 20_000,
         train_fold: tuple[int, int] | None = (4, 2), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Fit on at most ``per_lang`` texts (of at most ``longest`` characters) of each language outside the
-    left-out fold (parts, left out).  The lexicon counts all of them, chains use the first ``chain_texts``."""
+    left-out fold (parts, left out).  The lexicon counts all of them, in Spark; the driver gets the first
+    ``chain_texts`` of each language for the weights."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     if train_fold:
         rows = rows.where(fold(F.col("doc_id"), train_fold[0]) != train_fold[1])
@@ -243,28 +267,22 @@ def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 400, lexicon_w
     if not langs:
         return None
     order = F.xxhash64("doc_id")
-    ids = None
-    for g in langs:
-        own = rows.where(F.col("lang") == g).select("doc_id", "lang").orderBy(order, "doc_id").limit(per_lang)
-        ids = own if ids is None else ids.unionByName(own)
-    # at most per_lang rows a language, so they are sent to every task and come back whole
-    ids = stored(ids.distinct(), "langid-ids")
-    picked = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", order.alias("nth"), "text").collect()
+
+    def first_ids(n: int) -> DataFrame:
+        out = None
+        for g in langs:
+            own = rows.where(F.col("lang") == g).select("doc_id", "lang").orderBy(order, "doc_id").limit(n)
+            out = own if out is None else out.unionByName(own)
+        return stored(out.distinct(), "langid-ids")
+
+    # at most per_lang rows a language, so they are sent to every task
+    lexicon, lean = _lexicon(rows.join(F.broadcast(first_ids(per_lang)), ["doc_id", "lang"]), langs, lexicon_words)
+    picked = rows.join(F.broadcast(first_ids(chain_texts)), ["doc_id", "lang"]).select("lang", order.alias("nth"), "text").collect()
     picked.sort(key=lambda r: (r["nth"], r["lang"], r["text"]))
-    y = np.array([langs.index(r["lang"]) for r in picked])
     words = Words.of([r["text"] for r in picked])
-    if not len(words.which):
+    if not len(words.which) or not len(lexicon):
         return None
-    text = np.repeat(np.arange(len(picked)), np.diff(words.at))
-    pairs = np.unique(text * len(words.hashes) + words.which)  # a text counts a word once
-    count = np.zeros((len(words.hashes), len(langs)))
-    np.add.at(count, (pairs % len(words.hashes), y[pairs // len(words.hashes)]), 1)
-    top = np.sort(np.argsort(-count.sum(1), kind="stable")[:lexicon_words])
-    lean = np.log(count[top] + 0.5)
-    lean = (lean - lean.mean(1, keepdims=True)).clip(-4, 4)
-    chosen = [i for k in range(len(langs)) for i in np.flatnonzero(y == k)[:chain_texts].tolist()]
-    part = Words.of([picked[i]["text"] for i in chosen])
-    return fit_weights(part, y[chosen], langs, words.hashes[top], lean) if len(part.which) else None
+    return fit_weights(words, np.array([langs.index(r["lang"]) for r in picked]), langs, lexicon, lean)
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
