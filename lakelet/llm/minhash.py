@@ -7,22 +7,23 @@ sorted rows: a region is a run with a common prefix of ``min_depth`` values; a r
 sequence), which adapts the depth to how crowded the region is.  Trees are range-sorted by Spark, so a
 crowded region spreads over tasks; rows at the task edges are compared in a second, small pass.
 
-Candidates are confirmed on the full shingle sets.  Two kinds are used one after the other:
+Candidates are confirmed on the full shingle sets.  Three kinds are used one after the other:
 
 1. every document with the leader (smallest key) of its region: a star, so a group of thousands
    costs a few pairs a document, not all pairs;
 2. every document with its ``near`` predecessors of the order, longest common prefix first, but only
-   where the first links left the two in different components.
+   where the first links left the two in different components;
+3. every pair of classes, still in different components, that an exact join on the rarest shingles of
+   each finds (``_rest``), whatever the regions were.
 
-Documents with equal sets are one class from the start.  A pair at similarity 0.8 shares a region
-of depth 3 in one tree with probability 0.51 and misses in all 20 trees with probability 6e-7.  Only inside crowded groups can a link be lost:
-a document all of whose links at or just above the threshold lie beyond its neighbours in every order
-(README has measured figures).
+Documents with equal sets are one class from the start.  The forest alone can lose links (those beyond
+the neighbours in a crowded region, and any pair that shares no region); the third pass has no such
+limit, so the components are those of all links.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing; a text of
 fewer words than a shingle has one shingle, all its words; repeated rows fall into one class, one row
-each in the result; rows with a null id get a null component unless linked to others; an empty table
-gives an empty table; extra columns have no influence.
+each in the result; rows with a null id get a null component unless linked to others; an empty
+table gives an empty table; extra columns have no influence.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ _MUL = (_rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint64) | 1).astype(np
 _ADD = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint64).astype(np.uint32)
 #: shingles whose minhash products are held at a time
 BLOCK = 512
+#: shingle counts that order shingles from rare to common
+BUCKETS = 1 << 23
 
 
 def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
@@ -79,19 +82,19 @@ def _key(shingles: np.ndarray) -> bytes:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("th"))
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, key, labels): key names the set (null if empty), labels are all trees' values."""
+    """(doc_id, th, n_shingles, key, labels): key names the set (null if empty), labels are all trees' values."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for rows, texts in slices(batches):
             sets = shingle_sets(texts, width)
-            yield {"doc_id": rows.column(0), "n_shingles": [len(s) for s in sets],
+            yield {"doc_id": rows.column(0), "th": rows.column(2), "n_shingles": [len(s) for s in sets],
                    "key": [_key(s) if len(s) else None for s in sets],
                    "labels": [signature(s).astype(">u4").tobytes() if len(s) else None for s in sets]}
 
-    return map_arrow(docs, run, "doc_id long, n_shingles long, key binary, labels binary")
+    return map_arrow(docs, run, "doc_id long, th long, n_shingles long, key binary, labels binary")
 
 
 def _trees(classes: DataFrame) -> DataFrame:
@@ -218,6 +221,95 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return both.where(ok & (shared * den >= (n - shared) * num)).select("a", "b")
 
 
+def _counts(texts: DataFrame, width: int) -> np.ndarray:
+    """How many texts hold a shingle of each of the ``BUCKETS`` buckets (by a shingle's upper bits, up to 65,535)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        own = np.zeros(BUCKETS, dtype=np.uint16)
+        for _, chunk in slices(batches):
+            bucket, n = np.unique(_bucket(np.concatenate(shingle_sets(chunk, width))), return_counts=True)
+            own[bucket] = np.minimum(own[bucket] + n, 65535)
+        for i, part in enumerate(own.reshape(-1, 1 << 16)):
+            if part.any():
+                yield {"part": [i], "n": [part.tobytes()]}
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[i] = np.minimum(sums.get(i, 0) + np.frombuffer(n, dtype=np.uint16).astype(np.int64), 65535)
+        for i, n in sums.items():
+            yield {"part": [i], "n": [n.astype(np.uint16).tobytes()]}
+
+    schema = "part int, n binary"
+    out = np.zeros((BUCKETS >> 16, 1 << 16), dtype=np.uint16)
+    for r in map_arrow(map_arrow(texts.select("text"), run, schema).repartition("part"), add, schema).collect():  # BUCKETS numbers
+        out[r["part"]] = np.frombuffer(r["n"], dtype=np.uint16)
+    return out.ravel()
+
+
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
+def _wanted(n: int) -> int:
+    """Shared shingles among the rarest that a pair has to show, for a set of ``n``."""
+    return 3 + n // 32
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The shingles of a set among which a linked set has ``_wanted`` (or all shared ones, if fewer).
+
+    In any order common to all sets: of ``least`` shared shingles or more, the k-th has ``least - k`` behind it at
+    least, so it is among the first ``n - least + k``.  Rare ones come first; what no other text holds is left out.
+    """
+    n = len(shingles)
+    least = -(-n * num // den)
+    many = counts[_bucket(shingles)]
+    first = np.lexsort((shingles, many))[:n - least + min(_wanted(n), least)]
+    return shingles[first[many[first] > 1]]
+
+
+def _rest(texts: DataFrame, classes: DataFrame, roots: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(a, b): all pairs of classes in different components that can be at the threshold.
+
+    Sets are joined on their rarest shingles.  Where a shingle is held by classes of one component, there
+    is nothing to compare; else all others meet the classes of the shingle's main component and each other,
+    so a large group costs its size times the classes outside it, not its square.
+    """
+    counts = _counts(texts, width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for rows, chunk in slices(batches):
+            found = [rarest(s, counts, num, den) for s in shingle_sets(chunk, width)]
+            yield {"name": np.repeat(rows.column(0).to_numpy(), [len(f) for f in found]), "shingle": np.concatenate(found).view(np.int64)}
+
+    named = classes.select("key", "best", F.xxhash64("key").alias("name"), F.col("n_shingles").alias("n"))
+    rare = stored(map_arrow(_rows_of(texts, named).select("name", "text"), run, "name long, shingle long"), "minhash-rare")
+    several = stored(rare.groupBy("shingle").agg(F.count("*").alias("rows")).where("rows > 1").select("shingle"), "minhash-several")
+    rooted = named.join(roots, F.col("key") == F.col("node"), "left").select("name", F.xxhash64(F.coalesce("root", "key")).alias("root"), "n")
+    held = stored(rare.join(several, "shingle").join(rooted, "name"), "minhash-held")
+    discard(rare, several)
+    main = stored(held.groupBy("shingle", "root").agg(F.count("*").alias("rows")).groupBy("shingle")
+                  .agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("shingle", "main"), "minhash-main")
+    held = held.join(main, "shingle")
+    x = held.where("root != main").select("shingle", "main", F.col("name").alias("x"), F.col("root").alias("root_x"), F.col("n").alias("nx"))
+    y = held.select("shingle", F.col("name").alias("y"), F.col("root").alias("root_y"), F.col("n").alias("ny"))
+    near = F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num
+    met = x.join(y, "shingle").where((F.col("root_x") != F.col("root_y")) & near & ((F.col("root_y") == F.col("main")) | (F.col("x") < F.col("y"))))
+    small, least = F.least("nx", "ny"), F.ceil(F.greatest("nx", "ny") * num / den)
+    shared = (met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.least(F.lit(3) + F.floor(small / 32), least).alias("wanted"))
+              .groupBy("x", "y", "wanted").agg(F.count("*").alias("shared")).where("shared >= wanted"))
+    a = named.select(F.col("name").alias("x"), F.col("key").alias("ka"))
+    b = named.select(F.col("name").alias("y"), F.col("key").alias("kb"))
+    return stored(stored(shared, "minhash-shared").join(a, "x").join(b, "y").select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")), "minhash-rest")
+
+
+def _rows_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """The columns of ``classes`` with the text of one row of each (that of ``best``)."""
+    named = classes.withColumns({"best_id": F.col("best.doc_id"), "best_th": F.col("best.th")})
+    return texts.join(named, texts["doc_id"].eqNullSafe(named["best_id"]) & (texts["th"] == named["best_th"])).select("text", *classes.columns)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, min_depth: int = 3, near: int = 8,
                     crowd: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id, kept).
@@ -225,21 +317,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     Documents are linked where den * |intersection| >= num * |union| of their sets of ``width``-word
     shingles; ``component_id`` is the smallest id reachable over links, ``kept`` marks that document.
     """
-    texts = _texts(docs, id_col, text_col)
+    return _grouped(_texts(docs, id_col, text_col), width, num, den, min_depth, near, crowd).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(texts: DataFrame, width: int, num: int, den: int, min_depth: int, near: int, crowd: int) -> DataFrame:
     signed = stored(_signed(texts, width), "minhash-signed")
-    classes = stored(signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("labels").alias("labels")), "minhash-classes")
+    # a row of each class stands for it: of the smallest id, a null id last
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("best")
+    classes = stored(signed.where("key is not null").groupBy("key").agg(best, F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels")), "minhash-classes")
+    if not signed.groupBy("doc_id", "th").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id", "text"])  # repeated rows give a class its set once
     pairs = stored(_candidates(_trees(classes), min_depth, near, crowd), "minhash-pairs")
 
-    needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct().join(classes.select("key", "rep"), "key")
-
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for rows, chunk in slices(batches):
-            sets = shingle_sets(chunk, width)
-            yield {"key": [_key(s) if len(s) else None for s in sets], "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))}
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            for rows, chunk in slices(batches):
+                sets = shingle_sets(chunk, width)
+                yield {"key": rows.column(1), "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))}
 
-    wanted = texts.join(needed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
-    sets = stored(map_arrow(wanted, to_sets, "key binary, shingles array<long>").where("key is not null"), "minhash-sets")
+        needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        return stored(map_arrow(_rows_of(texts, classes.select("key", "best").join(needed, "key")).select("text", "key"), run, "key binary, shingles array<long>"), "minhash-sets")
 
+    sets = sets_of(pairs)
     first = stored(_confirm(pairs.where("kind = 1"), sets, num, den), "minhash-links")
     roots = components(first)
     ra = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
@@ -249,12 +348,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     second = stored(_confirm(stored(apart, "minhash-apart"), sets, num, den), "minhash-links")
     roots = components(first.unionByName(second)) if not second.isEmpty() else roots
 
-    discard(sets)
-    named = classes.select("key", "rep").join(roots, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
-    smallest = stored(named.groupBy("root").agg(F.min("rep").alias("component_id")), "minhash-smallest")
-    member = stored(stored(named, "minhash-named").join(smallest, "root").select("key", "component_id"), "minhash-members")
-    return (signed.select("doc_id", "n_shingles", "key").join(member, "key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
-
-
+    discard(sets, pairs)
+    rest = _rest(texts, classes, roots, width, num, den)
+    if not rest.isEmpty():
+        sets = sets_of(rest)
+        third = stored(_confirm(rest, sets, num, den), "minhash-links")
+        discard(sets)
+        roots = components(first.unionByName(second).unionByName(third)) if not third.isEmpty() else roots
+    named = classes.select("key", "best").join(roots, F.col("key") == F.col("node"), "left").select("key", "best", F.coalesce("root", "key").alias("root"))
+    smallest = stored(named.groupBy("root").agg(F.min("best").alias("keeper")), "minhash-smallest")
+    member = stored(stored(named, "minhash-named").join(smallest, "root").select("key", "keeper"), "minhash-members")
+    return (signed.select("doc_id", "th", "n_shingles", "key").join(member, "key", "left")
+            .select("doc_id", "th", "n_shingles", F.coalesce("keeper.doc_id", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("keeper.doc_id"), F.lit(True)).alias("kept")))
