@@ -30,10 +30,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays (the smallest id): groups of links at 0.8 or more over 5-word shingles."""
     ship(spark)
-    found = minhash.near_duplicates(docs, width=5, num=80, den=100)
-    kept = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = stored(kept.select(F.col("doc_id").alias("kept_id"), "rows"), "pipeline-kept")
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").select(docs.columns)
+    kept = minhash.kept_rows(docs, width=5, num=80, den=100).groupBy("doc_id", "th").agg(F.count("*").alias("rows"))
+    kept = stored(kept.select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_th"), "rows"), "pipeline-kept")
+    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_th"])
+    rows = docs.join(kept, same, "left_semi").select(docs.columns)
     # an id that stands on several rows: equal rows are copies of one document
     return rows.dropDuplicates(["doc_id", "text"]) if not kept.where("rows > 1").isEmpty() else rows
 

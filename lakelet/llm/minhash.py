@@ -22,7 +22,8 @@ limit, so the components are those of all links.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing; a text of
 fewer words than a shingle has one shingle, all its words; repeated rows fall into one class, one row
-each in the result; rows with a null id get a null component unless linked to others; an empty
+each in the result; rows with a null id get a null component unless linked to others, and one is kept
+only where its component has no id; of rows that share the kept id, those of one text are kept; an empty
 table gives an empty table; extra columns have no influence.
 """
 
@@ -315,11 +316,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     """One row per document: (doc_id, n_shingles, component_id, kept).
 
     Documents are linked where den * |intersection| >= num * |union| of their sets of ``width``-word
-    shingles; ``component_id`` is the smallest id reachable over links, ``kept`` marks that document.
+    shingles; ``component_id`` is the smallest id reachable over links, ``kept`` marks that document (or, among null ids alone, one text).
     """
     return _grouped(_texts(docs, id_col, text_col), width, num, den, min_depth, near, crowd).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def kept_rows(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, th) of the rows that ``near_duplicates`` keeps; th: xxhash64 of the text."""
+    return _grouped(_texts(docs, id_col, text_col), width, num, den, 3, 8, 64).where("kept").select("doc_id", "th")
+
+
 def _grouped(texts: DataFrame, width: int, num: int, den: int, min_depth: int, near: int, crowd: int) -> DataFrame:
     signed = stored(_signed(texts, width), "minhash-signed")
     # a row of each class stands for it: of the smallest id, a null id last
@@ -358,5 +364,6 @@ def _grouped(texts: DataFrame, width: int, num: int, den: int, min_depth: int, n
     named = classes.select("key", "best").join(roots, F.col("key") == F.col("node"), "left").select("key", "best", F.coalesce("root", "key").alias("root"))
     smallest = stored(named.groupBy("root").agg(F.min("best").alias("keeper")), "minhash-smallest")
     member = stored(stored(named, "minhash-named").join(smallest, "root").select("key", "keeper"), "minhash-members")
+    kept = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("th") == F.col("keeper.th"))
     return (signed.select("doc_id", "th", "n_shingles", "key").join(member, "key", "left")
-            .select("doc_id", "th", "n_shingles", F.coalesce("keeper.doc_id", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("keeper.doc_id"), F.lit(True)).alias("kept")))
+            .select("doc_id", "th", "n_shingles", F.coalesce("keeper.doc_id", "doc_id").alias("component_id"), (F.col("keeper").isNull() | kept).alias("kept")))

@@ -1,4 +1,4 @@
-"""Near-duplicate links that the forest alone misses."""
+"""Near-duplicate links that the forest alone misses, and rows without or with repeated ids."""
 
 import random
 
@@ -21,3 +21,27 @@ def test_links_beyond_the_neighbours_of_crowded_regions(spark):
     for near, crowd in ((1, 4), (8, 64)):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, width=2, near=near, crowd=crowd).collect()}
         assert got == want
+
+
+def test_null_and_repeated_ids_are_linked(spark):
+    import corpus_pipeline as C
+
+    base = [f"w{i}" for i in range(200)]
+
+    def near(k):
+        return " ".join([*base[:k], f"x{k}", *base[k + 1:]])
+
+    other = [f"v{i}" for i in range(100)]
+    bridge = [" ".join(other), " ".join([*other[:92], *(f"y{i}" for i in range(8))]), " ".join([*other[:86], *(f"y{i}" for i in range(14))])]
+    lone = " ".join(f"z{i}" for i in range(50))
+    rows = [(1, near(5)), (None, near(5)), (None, near(60)), (1, near(120)),  # copies of an id's text, and the id again
+            (7, bridge[0]), (None, bridge[1]), (8, bridge[2]),  # linked through a null id only
+            (None, lone), (None, lone + " end"), (None, lone), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = minhash.near_duplicates(df, width=2).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0)] * 4 + [(0, 1)] * 2 + [(0, 7)] + [(1, 1)] * 2 + [(7, 7), (8, 7)]
+    assert not any(r.kept for r in got if r.doc_id is None and r.component_id is not None)
+    left = sorted((r.doc_id or 0, r.text) for r in C.drop_near_duplicates(spark, df, "").collect())
+    assert [i for i, _ in left] == [0, 0, 1, 7]
+    assert left[0][1] == "" and left[1][1] in (lone, lone + " end") and left[2][1] in (near(5), near(120)) and left[3][1] == bridge[0]
