@@ -6,8 +6,9 @@ features: how a word stands in the word counts of each language.  Learned transi
 neighbouring words.  Forward-backward gives each word's probabilities, so a text in two languages is
 labelled word by word; a text's language is the one with the largest mean probability.
 
-Lexicon and weights are fitted on at most ``per_lang`` texts a language (by a hash of the id), cut into
-stretches and joined into mixed chains, so that transitions learn switches too.  Scoring is one pass without a shuffle.  Forward-backward runs over a whole batch
+The lexicon counts at most ``per_lang`` texts a language (by a hash of the id), the weights are fitted on the
+first ``chain_texts`` of them: two stretches of each, drawn in Spark, are joined into mixed chains, so that
+transitions learn switches too.  Scoring is one pass without a shuffle.  Forward-backward runs over a whole batch
 at once: chains are joined (with a fresh start at each text) and cut into blocks, whose products of
 transition matrices are worked out side by side and then put together in order, which is exact.
 
@@ -18,6 +19,7 @@ influence; an empty table gives an empty table; without training texts every tex
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -171,21 +173,26 @@ def label_words(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]
     return forward_backward(model.emissions(words), fresh, model.start, model.move), words.at
 
 
-def _chains(at: np.ndarray, y: np.ndarray, rng: np.random.Generator, longest: int = 40) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(places of words, languages): stretches of one to three texts joined, mostly one language, some switches."""
+def _chains(at: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places of words, languages): one to three stretches joined, mostly one language, some switches."""
     pool = np.flatnonzero(np.diff(at) > 0)
     out = []
     for first in pool:
-        for _ in range(2):
-            places, own = [], []
-            for j in range(1 + (rng.random() < 0.4) + (rng.random() < 0.2)):
-                t = first if j == 0 else pool[rng.integers(len(pool))]
-                lo, hi = at[t], at[t + 1]
-                lo += int(rng.integers(max(1, hi - lo - 5)))
-                part = np.arange(lo, min(hi, lo + int(rng.integers(3, longest))))
-                places.append(part)
-                own.append(np.full(len(part), y[t]))
-            out.append((np.concatenate(places), np.concatenate(own)))
+        own = [first, *(pool[rng.integers(len(pool))] for _ in range((rng.random() < 0.4) + (rng.random() < 0.2)))]
+        out.append((np.concatenate([np.arange(at[t], at[t + 1]) for t in own]), np.concatenate([np.full(at[t + 1] - at[t], y[t]) for t in own])))
+    return out
+
+
+def stretches(text: str, longest: int = 40, n: int = 2) -> list[str]:
+    """``n`` stretches of 3 to ``longest`` words (without the last), drawn by a hash of the text."""
+    words = Words.of([text])
+    hi = len(words.starts)
+    rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    out = []
+    for _ in range(n if hi else 0):
+        lo = int(rng.integers(max(1, hi - 5)))
+        end = min(hi, lo + int(rng.integers(3, longest)))
+        out.append(words.data[words.starts[lo]:words.ends[end - 1]].tobytes().decode("utf-8", "surrogatepass"))
     return out
 
 
@@ -254,15 +261,15 @@ def _lexicon(sample: DataFrame, langs: list[str], size: int) -> tuple[np.ndarray
     return hashes[order], (lean - lean.mean(1, keepdims=True)).clip(-4, 4)[order]
 
 
-def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 200, lexicon_words: int = 4000, longest: int = 20_000,
+def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 400, lexicon_words: int = 4000,
         train_fold: tuple[int, int] | None = (4, 2), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Fit on at most ``per_lang`` texts (of at most ``longest`` characters) of each language outside the
-    left-out fold (parts, left out).  The lexicon counts all of them, in Spark; the driver gets the first
-    ``chain_texts`` of each language for the weights."""
+    """Fit on at most ``per_lang`` texts of each language outside the left-out fold (parts, left out).  The
+    lexicon counts all of them, in Spark; the driver gets two stretches of the first ``chain_texts`` of each
+    language for the weights."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     if train_fold:
         rows = rows.where(fold(F.col("doc_id"), train_fold[0]) != train_fold[1])
-    rows = rows.where("lang is not null and length(text) between 1 and " + str(longest))
+    rows = rows.where("lang is not null and length(text) > 0")
     langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not langs:
         return None
@@ -277,7 +284,15 @@ def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 200, lexicon_w
 
     # at most per_lang rows a language, so they are sent to every task
     lexicon, lean = _lexicon(rows.join(F.broadcast(first_ids(per_lang)), ["doc_id", "lang"]), langs, lexicon_words)
-    picked = rows.join(F.broadcast(first_ids(chain_texts)), ["doc_id", "lang"]).select("lang", order.alias("nth"), "text").collect()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch, texts in slices(batches):
+            parts = [stretches(t) for t in texts]
+            at = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+            yield {"lang": batch.column(0).take(pa.array(at)), "nth": batch.column(1).take(pa.array(at)), "text": [x for p in parts for x in p]}
+
+    chosen = rows.join(F.broadcast(first_ids(chain_texts)), ["doc_id", "lang"]).select("lang", order.alias("nth"), "text")
+    picked = map_arrow(chosen, cut, "lang string, nth long, text string").collect()
     picked.sort(key=lambda r: (r["nth"], r["lang"], r["text"]))
     words = Words.of([r["text"] for r in picked])
     if not len(words.which) or not len(lexicon):
