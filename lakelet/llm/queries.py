@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelet.llm import ann, bpe, covertree, langid, minhash, packing, quality, secret_scan, suffix, toxicity
+from lakelet.llm import ann, bpe, covertree, langid, minhash, packing, quality, secret_scan, suffix, token_files, toxicity
 from lakelet.llm.common import fold, read_table, ship
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return token_files.read_files(token_files.write_files(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_covertree": op8_covertree,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_token_files": op11_token_files,
 }
 
 OP8_SQL = """
