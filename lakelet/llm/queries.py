@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelet.llm import ann, bpe, covertree, langid, minhash, packing, quality, secret_scan, suffix, token_files, toxicity
+from lakelet.llm import ann, bpe, conversation_repair, covertree, langid, minhash, packing, prefix_trie, quality, secret_scan, suffix, token_files, toxicity
 from lakelet.llm.common import fold, read_table, ship
+from lakelet.llm.conversation_sql import OP12_SQL, OP13_SQL
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,6 +81,17 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(token_files.write_files(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=2))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.digests(conversation_repair.damage(rows), ids=rows.select("conv_id"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return prefix_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -92,6 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
     "op11_token_files": op11_token_files,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 OP8_SQL = """
@@ -135,4 +149,4 @@ FROM s JOIN r ON r.doc_id = s.doc_id
 GROUP BY s.doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_minhash_forest": OP3_SQL, "op8_covertree": OP8_SQL}
+ORACLE: dict[str, str] = {"op3_minhash_forest": OP3_SQL, "op8_covertree": OP8_SQL, "op12_conversation_repair": OP12_SQL, "op13_prefix_trie": OP13_SQL}
