@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelet.session import shared_dir
-from lakelet.store.versions import VersionedTable, ensure_table
+from lakelet.store.versions import ConcurrentWriteError, VersionedTable, ensure_table
 
 _META_SCHEMA = T.StructType(
     [
@@ -55,22 +55,6 @@ def _null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]):
     return cond
 
 
-def check_keys(df: DataFrame, keys: list[str], partition_columns: list[str]) -> list[tuple]:
-    """Refuse duplicate keys and list the partition values present, in one pass.
-
-    Aggregates per key (only key and partition columns are read), then per
-    partition value; what comes back to the driver is one row per partition value
-    (e.g. per month), never per key.  A key seen in two partitions is a duplicate.
-    """
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.first(p).alias(p) for p in partition_columns]
-    )
-    summary = per_key.groupBy(*partition_columns).agg(F.max("_n").alias("_max")).collect()
-    if any(r["_max"] is not None and r["_max"] > 1 for r in summary):
-        raise DuplicateKeyError(f"duplicate primary keys {keys}")
-    return [tuple(r[p] for p in partition_columns) for r in summary if r["_max"] is not None]
-
-
 def _partition_filter(partition_columns: list[str], touched: list[tuple]):
     """Null-safe filter on the touched partition values (a NULL value is a partition too);
     a plain IN-list where possible so that it prunes directories."""
@@ -126,7 +110,8 @@ def merge_versioned(
     twice stops the merge before anything is published.  Keys compare null-safe, as in any grouping.
     """
     cols = table.schema.fieldNames()
-    old = table.read()
+    base = table.snapshot()
+    old = table.read(base)
     if table.parts:
         touched = touched_partitions(table, batch, keys, partition_expr)
         if not touched:
@@ -140,15 +125,19 @@ def merge_versioned(
     if (obs.get["most"] or 0) > 1:
         table.discard(written)
         raise DuplicateKeyError(f"duplicate primary keys {keys}")
-    keep = table.entries() if table.parts else {}
+    keep = base.entries if table.parts else {}
     if table.parts and not set(table.parts) <= set(keys) and not partition_expr:
         # a partition whose last key moved away has no file in the new folder: it is gone
-        gone = {e for e in keep if e not in written and e in _partition_names(table, touched)}
+        gone = {e for e in keep if e not in written and e in _partition_names(keep, touched)}
         keep = {e: f for e, f in keep.items() if e not in gone}
-    table.publish({**keep, **written})
+    try:
+        table.publish({**keep, **written}, base)
+    except ConcurrentWriteError:
+        table.discard(written)
+        raise
 
 
-def _partition_names(table: VersionedTable, touched: list[tuple]) -> set[str]:
+def _partition_names(entries: dict[str, str], touched: list[tuple]) -> set[str]:
     """Folder names of partition values, as the live table spells them."""
     from urllib.parse import unquote
 
@@ -156,7 +145,7 @@ def _partition_names(table: VersionedTable, touched: list[tuple]) -> set[str]:
         return tuple(None if (v := unquote(x.split("=", 1)[1])) == "__HIVE_DEFAULT_PARTITION__" else v for x in name.split("/"))
 
     wanted = {tuple(None if v is None else str(v) for v in t) for t in touched}
-    return {e for e in table.entries() if spelt(e) in wanted}
+    return {e for e in entries if spelt(e) in wanted}
 
 
 @dataclass(frozen=True)
@@ -252,17 +241,7 @@ class FeatureStore:
             raise ValueError(f"feature table {name!r} already exists")
         path = f"{self.root}/tables/{name}-{uuid.uuid4().hex[:8]}"
         table = VersionedTable(self.spark, path, df.schema, parts)
-        obs = Observation(f"create_{uuid.uuid4().hex[:8]}")
-        written = table.write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-        table.publish(written)
-        try:
-            stored = table.read().select(*keys, *[p for p in parts if p not in keys])
-            check_keys(stored, keys, parts)
-            if partition_expr:
-                touched_partitions(table, stored, keys, partition_expr)
-        except ValueError as e:
-            table.discard(written)
-            raise type(e)(f"{e} in the rows for {name!r}; table not registered") from None
+        rows = self._write_checked(table, df, keys, partition_expr, name)
         spec = {
             "name": name,
             "path": path,
@@ -270,13 +249,36 @@ class FeatureStore:
             "partition_columns": parts,
             "description": description,
             "schema_json": df.schema.json(),
-            "row_count": int(obs.get["rows"]),
+            "row_count": rows,
             "version": 1,
             "partition_expr_json": json.dumps(partition_expr) if partition_expr else None,
         }
         self._record(spec)
         return spec
 
+    def _write_checked(self, table: VersionedTable, df: DataFrame, keys: list[str], partition_expr: dict[str, str] | None, name: str) -> int:
+        """Write and publish ``df`` as the whole table; its number of rows.  The exchange that groups by key
+        counts duplicates on its way to the files, and nothing is published if there are any."""
+        cols = table.schema.fieldNames()
+        rest = [c for c in cols if c not in keys]
+        one = df.groupBy(*keys).agg(F.first(F.struct(*rest)).alias("_rest"), F.count(F.lit(1)).alias("_n"))
+        wrong = F.lit(0) if not partition_expr else F.when(~F.expr(" AND ".join(f"({e}) <=> `{c}`" for c, e in partition_expr.items())), 1).otherwise(0)
+        flat = one.select(*keys, *[F.col("_rest")[c].alias(c) for c in rest], "_n") if rest else one.select(*keys, "_n")
+        obs = Observation(f"create_{uuid.uuid4().hex[:8]}")
+        flat = flat.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_n").alias("most"), F.max(wrong).alias("wrong"))
+        written = table.write(flat)
+        seen = obs.get
+        error = None
+        if (seen["most"] or 0) > 1:
+            error = DuplicateKeyError(f"duplicate primary keys {keys} in the rows for {name!r}; table not registered")
+        elif seen["wrong"]:
+            error = ValueError(f"rows for {name!r} are not in the partition that {partition_expr} gives; table not registered")
+        if error:
+            table.discard(written)
+            raise error
+        table.publish(written)
+        return int(seen["rows"])
+
     def write_table(self, name: str, df: DataFrame, mode: str = "merge") -> dict:
         """SK10: ``merge`` upserts by primary key; ``overwrite`` replaces the table's rows."""
         spec = self.get_table(name)
@@ -292,10 +294,7 @@ class FeatureStore:
             if mode == "merge":
                 merge_versioned(table, batch, keys, exprs)
             elif mode == "overwrite":
-                check_keys(batch.select(*keys, *[p for p in parts if p not in keys]), keys, parts)
-                if exprs:
-                    touched_partitions(table, batch, keys, exprs)
-                table.publish(table.write(batch))
+                self._write_checked(table, batch, keys, exprs, name)
             else:
                 raise ValueError("mode must be 'merge' or 'overwrite'")
         except DuplicateKeyError as e:
@@ -311,6 +310,18 @@ class FeatureStore:
         schema = T.StructType.fromJson(json.loads(spec["schema_json"]))
         return VersionedTable(self.spark, spec["path"], schema, list(spec["partition_columns"]))
 
+    def clone_table(self, name: str, new_name: str) -> dict:
+        """SK13: a feature table with the rows of ``name`` and no copied file; both change on their own from here."""
+        spec = self.get_table(name)
+        if self._meta().where(F.col("name") == new_name).limit(1).count():
+            raise ValueError(f"feature table {new_name!r} already exists")
+        path = f"{self.root}/tables/{new_name}-{uuid.uuid4().hex[:8]}"
+        self._table(spec).clone_to(path)
+        new = dict(spec, name=new_name, path=path, version=1)
+        new.pop("written_at", None)
+        self._record(new)
+        return new
+
     def read_table(self, name: str) -> DataFrame:
         return self._table(self.get_table(name)).read()
 
@@ -330,12 +341,17 @@ class FeatureStore:
         table = self._table(spec).read()
         exprs = json.loads(spec["partition_expr_json"]) if spec.get("partition_expr_json") else None
         if df is not None and exprs:
-            # the partitions the input can match: the recorded expressions evaluated on the
-            # input's lookup keys; one row per partition value comes back (bounded)
+            # the partitions the input can match: the recorded expressions over the input's lookup keys, one row
+            # a partition value, so it may be sent to every task.  Spark prunes the scan by it while it runs
+            # (dynamic partition pruning, which wants a comparison on the pruning side)
             as_keys = df.select(*[F.col(lk).alias(k) for lk, k in zip(lookup.lookup_key, keys)])
-            parts = list(exprs)
-            wanted = [tuple(r) for r in as_keys.select(*[F.expr(exprs[c]).alias(c) for c in parts]).distinct().collect()]
-            table = table.where(_partition_filter(parts, wanted)) if wanted else table.limit(0)
+            wanted = as_keys.select(*[F.expr(e).alias(f"__want{i}") for i, e in enumerate(exprs.values())])
+            wanted = wanted.where(F.col("__want0").cast("string") >= "").distinct()
+            cond = None
+            for i, c in enumerate(exprs):
+                same = table[c] == wanted[f"__want{i}"]
+                cond = same if cond is None else cond & same
+            table = table.join(F.broadcast(wanted), cond, "left_semi")
         return table.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *lookup.feature_names)
 
     def lookup(self, df: DataFrame, lookups: list[FeatureLookup], prune_partitions: bool = False) -> DataFrame:
@@ -346,10 +362,10 @@ class FeatureStore:
         NULL key cannot match; in a shuffle they would all meet in one task, so their key is
         replaced by a spread value beside the join and they keep NULL features.
 
-        ``prune_partitions`` (for tables created with ``partition_expr``) first lists
-        the partitions the input's keys fall in -- one extra pass over the input's
-        key columns -- and reads only those: the choice for scoring a recent slice
-        against a long history; leave it off when the input spans the whole table.
+        ``prune_partitions`` (for tables created with ``partition_expr``) derives the
+        partitions the input's keys fall in -- one more pass over the input's key
+        columns, in the same query -- and reads only those: the choice for scoring a
+        recent slice against a long history; leave it off when the input spans the table.
         """
         out = df
         for lu in lookups:

@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from lakelet.operators.filters import Rule, apply_rules
 from lakelet.sources.ingest import RESCUED
 from lakelet.store.feature_store import merge_versioned
-from lakelet.store.versions import VersionedTable, ensure_table, path_exists
+from lakelet.store.versions import VersionedTable, ensure_table, move, names_in, path_exists
 
 _HDFS_STATE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -75,6 +75,9 @@ _EVENTS_SCHEMA = T.StructType(
         T.StructField("metrics_json", T.StringType()),
         T.StructField("duration_json", T.StringType()),
         T.StructField("logged_at", T.TimestampType()),
+        # stateful operators of the batch: rows in state, rows that its watermark let go
+        T.StructField("state_rows", T.LongType()),
+        T.StructField("state_rows_removed", T.LongType()),
     ]
 )
 
@@ -89,6 +92,7 @@ class Dataset:
     keys: list[str] = field(default_factory=list)  # aggregate: group keys
     partition_by: list[str] = field(default_factory=list)
     rules_in_build: bool = False  # ``build`` applies the rules itself (``Pipeline.checked``), e.g. before a join
+    feed: bool = False  # table, aggregate: keep a change feed, which ``Pipeline.stream`` reads
 
 
 class Pipeline:
@@ -105,7 +109,7 @@ class Pipeline:
         self.storage = storage.rstrip("/")
         self.datasets = {d.name: d for d in datasets}
         self.order = [d.name for d in datasets]
-        self._schemas: dict[str, T.StructType] | None = None
+        self._schemas: dict[str, str] | None = None
         ensure_table(spark, self.events_path, _EVENTS_SCHEMA)
         ensure_table(spark, self.schemas_path, _SCHEMAS_SCHEMA)
 
@@ -129,19 +133,24 @@ class Pipeline:
         """
         if self._schemas is None:
             rows = self.spark.read.schema(_SCHEMAS_SCHEMA).parquet(self.schemas_path).collect()
-            self._schemas = {r.name: T.StructType.fromJson(json.loads(r.schema_json)) for r in rows}
+            self._schemas = {r.name: r.schema_json for r in rows}
         if name not in self._schemas:
-            schema = infer()
-            self.spark.createDataFrame([(name, schema.json())], _SCHEMAS_SCHEMA).coalesce(1).write.mode(
-                "append"
-            ).parquet(self.schemas_path)
-            self._schemas[name] = schema
-        return self._schemas[name]
-
-    def fixed(self, name: str, value: int) -> int:
-        """A number that a checkpoint's first run fixes for good: ``value`` then, the saved one later."""
-        fields = self.source_schema(f"fixed:{name}", lambda: T.StructType([T.StructField(str(value), T.LongType())]))
-        return int(fields.fieldNames()[0])
+            text = infer().json()
+            self.spark.createDataFrame([(name, text)], _SCHEMAS_SCHEMA).coalesce(1).write.mode("append").parquet(self.schemas_path)
+            self._schemas[name] = text
+        return T.StructType.fromJson(json.loads(self._schemas[name]))
+
+    def fixed(self, name: str, compute: Callable[[], dict[int, int]]) -> dict[int, int]:
+        """Numbers that a checkpoint's first run fixes for good: computed then, the saved ones later."""
+        numbers = self.source_schema(f"fixed:{name}", lambda: T.StructType([T.StructField(f"{k}:{v}", T.LongType()) for k, v in compute().items()]))
+        return {int(k): int(v) for k, v in (n.split(":") for n in numbers.fieldNames())}
+
+    def fresh(self, name: str, reader: str) -> DataFrame:
+        """About the rows of a stream dataset that ``reader`` has not processed: those of files written since
+        the start of its last logged batch (all of them before its first)."""
+        last = self.events().where(F.col("dataset") == reader).agg(F.max("timestamp")).first()[0]
+        rows = self.read(name)
+        return rows if last is None else rows.where(F.col("_metadata.file_modification_time") >= F.to_timestamp(F.lit(last)))
 
     def checked(self, name: str, df: DataFrame) -> DataFrame:
         """The dataset's rules applied to ``df`` and counted for the run log."""
@@ -177,9 +186,29 @@ class Pipeline:
         return names
 
     def stream(self, name: str) -> DataFrame:
-        """``STREAM(LIVE.x)``: rows of an append-only dataset not yet seen by the reader."""
-        schema = self.read(name).schema
-        return self.spark.readStream.schema(schema).parquet(self.table_path(name))
+        """``STREAM(LIVE.x)``: rows of a dataset not yet seen by the reader.  Of a ``table`` or ``aggregate``
+        dataset, whose rows change, its change feed: each row that came or went, with ``_change``."""
+        d = self.datasets[name]
+        if d.kind != "stream":
+            if not d.feed:
+                raise ValueError(f"{name!r} is rewritten, not appended to: give it feed=True to stream its changes")
+            schema = VersionedTable(self.spark, self.table_path(name), None, d.partition_by).schema.add("_change", T.StringType())
+            return self.spark.readStream.schema(schema).parquet(f"{self.feed_path(name)}/*")
+        return self.spark.readStream.schema(self.read(name).schema).parquet(self.table_path(name))
+
+    def feed_path(self, name: str) -> str:
+        return f"{self.storage}/feeds/{name}"
+
+    def _feed(self, d: Dataset) -> None:
+        """Bring a dataset's change feed up to its newest version: the difference to the version that was fed
+        last is written aside and shows by one rename, so a run that dies feeds nothing twice."""
+        table = VersionedTable(self.spark, self.table_path(d.name), None, d.partition_by)
+        now, path = table.snapshot().version, self.feed_path(d.name)
+        fed = max([0, *(int(n) for n in names_in(self.spark, path) if n.isdigit())])
+        if now > fed:
+            aside = f"{self.storage}/staging/{d.name}-feed"
+            table.changes(fed, now).write.mode("overwrite").parquet(aside)
+            move(self.spark, aside, f"{path}/{now:010d}")
 
     def events(self) -> DataFrame:
         return self.spark.read.schema(_EVENTS_SCHEMA).parquet(self.events_path)
@@ -213,9 +242,13 @@ class Pipeline:
                     df = d.build(self)
                     df = df if d.rules_in_build else apply_rules(df, d.rules)
                     table = VersionedTable(self.spark, self.table_path(name), df.schema, d.partition_by)
-                    table.publish(table.write(df))  # the whole table anew: partitions that are gone stay gone
+                    base = table.snapshot()
+                    table.publish(table.write(df), base)  # the whole table anew: partitions that are gone stay gone
+                    if d.feed:
+                        self._feed(d)
                     done[name] = 1
                     continue
+                self._log_lost(name, run_id)
                 if self.state_partitions:
                     conf.set("spark.sql.shuffle.partitions", str(self.state_partitions))
                 df = d.build(self)
@@ -237,6 +270,8 @@ class Pipeline:
                 else:
                     raise ValueError(f"unknown dataset kind {d.kind!r}")
                 done[name] = self._follow(q, name, run_id, obs_name)
+                if d.feed:
+                    self._feed(d)
         finally:
             for k, v in before.items():
                 conf.unset(k) if v is None else conf.set(k, v)
@@ -247,7 +282,7 @@ class Pipeline:
         staging = f"{self.storage}/staging/{d.name}"
         keys, parts = list(d.keys), list(d.partition_by)
         table = VersionedTable(self.spark, path, df.schema, parts)
-        if not table.entries():
+        if not table.versions():
             table.publish({})
 
         def upsert_batch(batch: DataFrame, batch_id: int) -> None:
@@ -257,6 +292,8 @@ class Pipeline:
             stage = f"{staging}/current"
             batch.write.mode("overwrite").parquet(stage)
             merge_versioned(table, self.spark.read.schema(df.schema).parquet(stage), keys)
+            if d.feed:
+                self._feed(d)  # at each version, while the one before is kept
 
         return (
             df.writeStream.outputMode("update")
@@ -267,8 +304,8 @@ class Pipeline:
         )
 
     def _follow(self, q, name: str, run_id: str, obs_name: str) -> int:
-        """Wait for a query and write the log rows of its batches as they commit, so that the log holds
-        what was committed even when a later batch, or the driver, fails."""
+        """Wait for a query and write the log rows of its batches as they commit.  The log holds what was
+        committed even when a later batch fails; what the driver had no time to log, the next run does."""
         logged: set[int] = set()
         try:
             while not q.awaitTermination(1):
@@ -279,6 +316,19 @@ class Pipeline:
             raise q.exception()
         return len(logged)
 
+    def _log_lost(self, name: str, run_id: str) -> None:
+        """Log the batches that committed while nobody took their report, as the driver was lost: their numbers
+        and times are in the stream's checkpoint, their counts are not known any more."""
+        commits = {int(n): at for n, at in names_in(self.spark, f"{self.checkpoint(name)}/commits").items() if n.isdigit()}
+        if not commits:
+            return
+        logged = {r.batch_id for r in self.events().where((F.col("dataset") == name) & (F.col("batch_id") >= min(commits))).select("batch_id").collect()}
+        now = datetime.now(timezone.utc)
+        rows = [(self.name, name, run_id, b, datetime.fromtimestamp(at, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.000Z"), None, None, None,
+                 json.dumps({"recovered": True}), None, now, None, None) for b, at in sorted(commits.items()) if b not in logged]
+        if rows:
+            self.spark.createDataFrame(rows, _EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(self.events_path)
+
     def _log(self, q, logged: set[int], name: str, run_id: str, obs_name: str) -> None:
         rows = []
         now = datetime.now(timezone.utc)
@@ -303,6 +353,7 @@ class Pipeline:
                     json.dumps(metrics) if metrics else None,
                     json.dumps(p.get("durationMs") or {}),
                     now,
+                    *([sum(int(o.get(k, 0)) for o in p["stateOperators"]) for k in ("numRowsTotal", "numRowsRemoved")] if p.get("stateOperators") else [None, None]),
                 )
             )
         if rows:

@@ -126,7 +126,7 @@ def test_write_broken_before_publishing_changes_nothing(spark, monkeypatch):
     st.create_table("b", ["zip", "ts"], spark.createDataFrame([(1, 100, "2024-01", 1.0), (2, 100, "2024-01", 2.0)], SCHEMA), "yyyy_mm")
     batch = spark.createDataFrame([(1, 100, "2024-01", 10.0)], SCHEMA)
 
-    def die(self, entries):
+    def die(self, entries, base=None):
         raise OSError("driver lost")
 
     with monkeypatch.context() as m:
@@ -169,7 +169,7 @@ def test_upsert_into_null_partition_keeps_other_rows(spark):
 
 def test_lookup_prunes_to_the_input_months(spark, capsys):
     st = _store(spark)
-    month = {"yyyy_mm": "CASE WHEN ts < 200 THEN '2024-01' ELSE '2024-02' END"}
+    month = {"yyyy_mm": "concat('2024-0', CAST(1 + ts div 200 AS STRING))"}
     feats = spark.createDataFrame([(1, 100, "2024-01", 7.0), (1, 200, "2024-02", 8.0), (2, 250, "2024-02", 9.0)], SCHEMA)
     st.create_table("pf", ["zip", "ts"], feats, "yyyy_mm", partition_expr=month)
     rows = spark.createDataFrame([(1, 100, 0.5), (3, 150, 0.7)], "z long, t int, x double")
@@ -181,4 +181,105 @@ def test_lookup_prunes_to_the_input_months(spark, capsys):
     capsys.readouterr()
     pruned.explain()
     plan = capsys.readouterr().out
-    assert "PartitionFilters: [isnotnull(yyyy_mm" in plan and "2024-01" in plan and "2024-02" not in plan
+    assert "dynamicpruning" in plan and "SubqueryBroadcast" in plan
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "yyyy_mm" in ln]
+    assert scan and all("dynamicpruning" in ln for ln in scan)
+
+
+def _folders(path):
+    root = path.removeprefix("file:")
+    return [d for d in os.listdir(f"{root}/data") if not d.startswith(".")], [f for f in os.listdir(f"{root}/log") if not f.startswith(".")]
+
+
+def test_many_merges_leave_few_folders_and_two_files_a_read(spark, monkeypatch):
+    """Each merge touches one of three months; dead folders go, a read opens the version and its checkpoint."""
+    from lakelet.store import versions
+
+    st = _store(spark)
+    months = ["2024-01", "2024-02", "2024-03"]
+    spec = st.create_table("m", ["zip", "ts"], spark.createDataFrame([(k, 0, m, 0.0) for k, m in enumerate(months)], SCHEMA), "yyyy_mm")
+    table = versions.VersionedTable(spark, spec["path"], None, ["yyyy_mm"])
+    for k in range(100):
+        entries = table.entries()
+        new = table.write(spark.createDataFrame([(k % 3, 0, months[k % 3], float(k))], SCHEMA).coalesce(1))
+        table.publish({**entries, **new})
+    data, log = _folders(spec["path"])
+    assert len(data) <= len(months) + versions.KEEP_VERSIONS and len(log) <= versions.KEEP_VERSIONS + 3
+    opened = []
+    real = versions._get
+    monkeypatch.setattr(versions, "_get", lambda spark, path: opened.append(path) or real(spark, path))
+    assert sorted(r.v for r in table.read().collect()) == [97.0, 98.0, 99.0]
+    assert len(opened) <= 2
+    assert len(table.read().inputFiles()) == 3
+    old = table.snapshot(table.versions()[0])
+    assert table.read(old).count() == 3  # kept versions stay readable
+
+
+def test_a_second_writer_is_refused(spark):
+    from lakelet.store.feature_store import merge_versioned
+    from lakelet.store.versions import ConcurrentWriteError, VersionedTable
+
+    st = _store(spark)
+    spec = st.create_table("w", ["zip", "ts"], spark.createDataFrame([(1, 1, "2024-01", 1.0)], SCHEMA), "yyyy_mm")
+    first, second = (VersionedTable(spark, spec["path"], None, ["yyyy_mm"]) for _ in range(2))
+    base = second.snapshot()
+    merge_versioned(first, spark.createDataFrame([(2, 2, "2024-01", 2.0)], SCHEMA), ["zip", "ts"])
+    with pytest.raises(ConcurrentWriteError):
+        second.publish(second.write(spark.createDataFrame([(3, 3, "2024-01", 3.0)], SCHEMA)), base)
+    # both began from the same version, in the middle of a merge
+    real = VersionedTable.write
+
+    def write_and_lose(self, df):
+        out = real(self, df)
+        merge_versioned(first, spark.createDataFrame([(4, 4, "2024-01", 4.0)], SCHEMA), ["zip", "ts"])
+        return out
+
+    second.write = lambda df: write_and_lose(second, df)
+    with pytest.raises(ConcurrentWriteError):
+        merge_versioned(second, spark.createDataFrame([(5, 5, "2024-01", 5.0)], SCHEMA), ["zip", "ts"])
+    assert sorted(r.v for r in st.read_table("w").collect()) == [1.0, 2.0, 4.0]
+
+
+def test_a_version_whose_writer_died_does_not_count(spark):
+    st = _store(spark)
+    spec = st.create_table("x", ["zip", "ts"], spark.createDataFrame([(1, 1, "2024-01", 1.0)], SCHEMA), "yyyy_mm")
+    root = spec["path"].removeprefix("file:")
+    open(f"{root}/log/0000000002.json", "w").write('{"checkpoint": 1, "chan')
+    assert [r.v for r in st.read_table("x").collect()] == [1.0]
+    st.write_table("x", spark.createDataFrame([(1, 1, "2024-01", 9.0)], SCHEMA))
+    assert [r.v for r in st.read_table("x").collect()] == [9.0]
+
+
+def test_changes_between_versions(spark):
+    from lakelet.store.versions import VersionedTable
+
+    st = _store(spark)
+    spec = st.create_table("c", ["zip", "ts"], spark.createDataFrame([(1, 1, "2024-01", 1.0), (2, 2, "2024-02", 2.0), (3, 3, "2024-02", None)], SCHEMA), "yyyy_mm")
+    table = VersionedTable(spark, spec["path"], None, ["yyyy_mm"])
+    v = table.snapshot().version
+    st.write_table("c", spark.createDataFrame([(2, 2, "2024-02", 20.0), (4, 4, None, 4.0)], SCHEMA))
+    got = sorted(((r.zip, r.v, r["_change"]) for r in table.changes(v).collect()), key=str)
+    assert got == [(2, 2.0, "delete"), (2, 20.0, "insert"), (4, 4.0, "insert")]
+    assert table.changes(0, v).count() == 3 and table.changes(v, v).count() == 0
+
+
+def test_clone_shares_files_and_diverges(spark):
+    from lakelet.store import versions
+
+    st = _store(spark)
+    spec = st.create_table("src", ["zip", "ts"], spark.createDataFrame([(1, 1, "2024-01", 1.0), (2, 2, "2024-02", 2.0)], SCHEMA), "yyyy_mm")
+    new = st.clone_table("src", "twin")
+    assert not _files(new["path"]) and sorted(st.read_table("twin").inputFiles()) == sorted(st.read_table("src").inputFiles())
+    st.write_table("twin", spark.createDataFrame([(2, 2, "2024-02", 20.0)], SCHEMA))
+    for k in range(versions.KEEP_VERSIONS + 2):  # the source moves on; the clone's folder stays
+        st.write_table("src", spark.createDataFrame([(1, 1, "2024-01", 100.0 + k)], SCHEMA))
+    assert sorted(r.v for r in st.read_table("twin").collect()) == [1.0, 20.0]
+    assert sorted(r.v for r in st.read_table("src").collect()) == [2.0, 106.0]
+    source = versions.VersionedTable(spark, spec["path"], None, ["yyyy_mm"])
+    before = len(_folders(spec["path"])[0])
+    st.write_table("twin", spark.createDataFrame([(1, 1, "2024-01", 10.0)], SCHEMA))
+    source.unpin(new["path"])
+    source.clean()
+    assert len(_folders(spec["path"])[0]) <= before and st.read_table("src").count() == 2 == st.read_table("twin").count()
+    with pytest.raises(ValueError, match="already exists"):
+        st.clone_table("src", "twin")

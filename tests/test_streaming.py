@@ -150,25 +150,188 @@ def _sales_left_join_not_retroactive(spark):
     assert by_city == [("NATION_1", "A", 10.0, 2.0, 1), ("NATION_7", "R", 3.0, 1.0, 1)]
 
 
-def test_hot_key_is_spread_and_joined_once(spark):
-    """One patient with a third of all recordings: every recording joins exactly once, and the
-    hot patient's rows land in every salt bucket instead of one join partition."""
-    from lakelet.operators.joins import SALT, replicate_salts, with_salt
+@pytest.mark.parametrize("hot", [True, False])
+def test_hot_key_is_spread_and_joined_once(spark, hot):
+    """One patient with a third of all recordings, or none: every recording joins exactly once; the hot
+    patient alone is copied, and its recordings land in every salt instead of one join partition."""
+    from lakelet.operators.joins import SALT, hot_keys, key_hash, replicated, with_salt
 
     run = new_run_dir(spark, "test-hot")
     rec, pat = f"{run}/rec", f"{run}/pat"
-    rows = [(str(i), "1" if i % 3 == 0 else str(2 + i % 50), "70", EPOCH_DAY1 + i) for i in range(3000)]
+    rows = [(str(i), "1" if hot and i % 3 == 0 else str(2 + i % 50), "70", EPOCH_DAY1 + i) for i in range(3000)]
     _land_json(spark, rows, rec)
     _land_patients(spark, [(m, f"p{m}") for m in range(1, 52)], pat)
-    p = vitals_pipeline(spark, rec, pat, f"{run}/storage")
+    p = vitals_pipeline(spark, rec, pat, f"{run}/storage", state_partitions=8)
     p.run()
     enriched = p.read("recordings_enriched")
     assert enriched.count() == 3000
-    assert enriched.where("mrn = 1").count() == 1000
-    salted = with_salt(spark.read.json(rec), 8, "device_id", "mrn", "time").where("mrn = '1'")
-    sizes = [r["count"] for r in salted.groupBy(SALT).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 250
-    assert replicate_salts(spark.createDataFrame([(1,)], "m int"), 8).count() == 8
+    assert enriched.where("mrn = 1").count() == (1000 if hot else 0)
+
+    key = key_hash(F.col("mrn").cast("long"))
+    found = hot_keys(spark.read.json(rec), key, 8)
+    patients = spark.createDataFrame([(m,) for m in range(1, 52)], "mrn long")
+    assert replicated(patients, key, found).count() == 51 + sum(n - 1 for n in found.values())
+    assert p.fixed("recordings_enriched_hot", dict) == found
+    if not hot:
+        assert found == {}
+        return
+    assert list(found.values()) == [3]  # a third of the rows fills three of eight partitions
+    salted = with_salt(spark.read.json(rec), key, found, "device_id", "mrn", "time")
+    sizes = [r["count"] for r in salted.where("mrn = '1'").groupBy(SALT).count().collect()]
+    assert len(sizes) == 3 and max(sizes) < 400
+    assert salted.where(f"mrn <> '1' AND {SALT} <> 0").count() == 0
+
+
+def test_hot_customers_of_each_run_are_spread(spark):
+    """JN1, ST5: a customer with most of the orders is copied, and no order is lost or doubled."""
+    from lakelet.plans import sales
+
+    run = new_run_dir(spark, "test-hot-sales")
+    src = f"{run}/src"
+    names = "customer_id string, customer_name string, state string, city string, lon string, lat string, units_purchased string, loyalty_segment string"
+    spark.createDataFrame([(str(k), f"C{k}", "S", "NATION_1", None, None, None, "X") for k in range(50)], names).write.option("header", "true").csv(f"{src}/customers")
+    schema = "customer_id long, customer_name string, number_of_line_items long, order_datetime string, order_number long, ordered_products array<struct<curr:string,id:long,price:double,qty:double>>"
+    for batch in range(2):
+        rows = [(7 if k % 2 else k % 60, f"C{7 if k % 2 else k % 60}", 1, "1704189600", 1000 * batch + k, [("A", 5, 1.0, 1.0)]) for k in range(600)]
+        spark.createDataFrame(rows, schema).write.mode("append").json(f"{src}/sales_orders")
+        p = sales_pipeline(spark, src, f"{run}/storage", state_partitions=8)
+        p.run()
+        if not batch:
+            assert p.fresh("sales_orders_raw", "nobody").count() == 600
+    got = p.read("sales_orders_cleaned")
+    assert got.count() == 1200 and got.select("order_number").distinct().count() == 1200
+    assert got.where("city IS NULL").count() == got.where("customer_id >= 50").count() > 0
+    hot = sales.hot_keys(p.read("sales_orders_raw"), sales.key_hash(F.col("customer_id"), F.col("customer_name")), 8)
+    assert list(hot.values()) == [4]
+
+
+def test_bounded_join_lets_state_go(spark):
+    """ST4: pairs across batches; what can meet nobody any more leaves the state."""
+    from lakelet.plans.funnel import EVENT_SCHEMA, funnel_pipeline
+
+    run = new_run_dir(spark, "test-funnel")
+    day = 86_400
+
+    def at(s):
+        return datetime.fromtimestamp(EPOCH_DAY1 + s, timezone.utc)
+
+    clicks = [[(1, 1, at(0), 0.0), (2, 2, at(100), 0.0)], [(3, 1, at(day), 0.0)], [(4, 9, at(2 * day), 0.0)]]
+    buys = [[(11, 1, at(6 * 3600), 5.0), (12, 2, at(50), 6.0)], [(13, 1, at(day), 7.0), (14, 1, at(day + 6 * 3600 + 1), 8.0)], [(15, 9, at(2 * day + 60), 9.0)]]
+    p = funnel_pipeline(spark, f"{run}/src", f"{run}/storage", state_partitions=2)
+    for c, b in zip(clicks, buys):
+        for kind, rows in (("clicks", c), ("purchases", b)):
+            spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{run}/src/{kind}")
+        p.run()
+    assert sorted((r.click_id, r.purchase_id) for r in p.read("click_purchases").collect()) == [(1, 11), (3, 13), (4, 15)]
+    log = p.events().where("dataset = 'click_purchases'")
+    assert log.agg(F.sum("state_rows_removed")).first()[0] >= 6  # both first days are gone
+    assert log.orderBy(F.col("batch_id").desc()).first().state_rows <= 3
+
+
+def test_bounded_left_join_tells_unmatched_rows(spark):
+    from lakelet.plans.funnel import EVENT_SCHEMA, funnel_pipeline
+
+    run = new_run_dir(spark, "test-funnel-left")
+    p = funnel_pipeline(spark, f"{run}/src", f"{run}/storage", state_partitions=2, how="left")
+    for day in range(3):
+        t = datetime.fromtimestamp(EPOCH_DAY1 + day * 86_400, timezone.utc)
+        for kind, user in (("clicks", day), ("purchases", 1)):
+            spark.createDataFrame([(day, user, t, 1.0)], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{run}/src/{kind}")
+        p.run()
+    # the click of day 0 met nobody and its time is over; that of day 2 may still meet somebody
+    assert sorted((r.click_id, r.purchase_id) for r in p.read("click_purchases").collect()) == [(0, None), (1, 1)]
+
+
+def test_interval_join_in_batch_and_clashing_names(spark):
+    from lakelet.operators.joins import interval_join
+
+    a = spark.createDataFrame([(1, EPOCH_DAY1), (2, EPOCH_DAY1), (None, EPOCH_DAY1)], "k int, s double").select("k", F.timestamp_seconds("s").alias("t"))
+    b = a.select(F.col("k").alias("k2"), (F.col("t") - F.expr("INTERVAL 1 HOUR")).alias("t2"))
+    assert interval_join(a, b, [("k", "k2")], "t", "t2", "-1 HOUR", "0 HOURS").count() == 2
+    assert interval_join(a, b, [("k", "k2")], "t", "t2", "0 HOURS", "1 HOUR", how="left").where("k2 IS NULL").count() == 3
+    with pytest.raises(ValueError, match="both sides"):
+        interval_join(a, a, [("k", "k")], "t", "t", "0 HOURS", "1 HOUR")
+
+
+def test_stream_over_a_rewritten_table(spark):
+    """SC14: a change feed gives each row that came or went once; without one the stream is refused."""
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    run = new_run_dir(spark, "test-feed")
+    rows = [("A", 1), ("A", 1), ("B", 2), ("C", None)]
+
+    def pipe(feed):
+        return Pipeline(spark, "t", f"{run}/s", [
+            Dataset("t", lambda p: spark.createDataFrame(rows, "city string, n int"), kind="table", partition_by=["city"], feed=feed),
+            Dataset("copy", lambda p: p.stream("t"))])
+
+    with pytest.raises(ValueError, match="feed=True"):
+        pipe(False).run()
+    run = new_run_dir(spark, "test-feed")
+    p = pipe(True)
+    p.run()
+
+    def seen():
+        return sorted(((r.city, r.n, r["_change"]) for r in p.read("copy").collect()), key=str)
+
+    first = [("A", 1, "insert"), ("A", 1, "insert"), ("B", 2, "insert"), ("C", None, "insert")]
+    assert seen() == first
+    p.run()
+    assert seen() == first  # a refresh with the same rows changes nothing
+    rows[:] = [("A", 1), ("B", 3), ("C", None), ("D", 4)]
+    p.run()
+    assert seen() == sorted([*first, ("A", 1, "delete"), ("B", 2, "delete"), ("B", 3, "insert"), ("D", 4, "insert")], key=str)
+
+
+def test_feed_of_an_aggregate(spark):
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    run = new_run_dir(spark, "test-feed-agg")
+
+    def pipe():
+        raw = lambda p: spark.readStream.schema("k string, v long").json(f"{run}/src")
+        total = lambda p: p.stream("raw").groupBy("k").agg(F.sum("v").alias("s"))
+        return Pipeline(spark, "t", f"{run}/s", [Dataset("raw", raw), Dataset("sums", total, kind="aggregate", keys=["k"], feed=True),
+                                                Dataset("moves", lambda p: p.stream("sums"))], state_partitions=2)
+
+    for rows in ([("a", 1), ("b", 2)], [("a", 5)], []):
+        if rows:
+            spark.createDataFrame(rows, "k string, v long").coalesce(1).write.mode("append").json(f"{run}/src")
+        p = pipe()
+        p.run()
+    got = sorted((r.k, r.s, r["_change"]) for r in p.read("moves").collect())
+    assert got == [("a", 1, "delete"), ("a", 1, "insert"), ("a", 6, "insert"), ("b", 2, "insert")]
+
+
+def test_batches_committed_before_the_driver_was_lost_are_logged(spark, monkeypatch):
+    """ST7: the report of a committed batch was never taken; the next run logs the batch from the checkpoint."""
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    run = new_run_dir(spark, "test-lost")
+    rec = f"{run}/rec"
+    _land_json(spark, [("1", "1", "80", EPOCH_DAY1)], rec)
+    schema = spark.read.json(rec).schema
+
+    def pipe():
+        return Pipeline(spark, "t", f"{run}/s", [Dataset("raw", lambda p: spark.readStream.schema(schema).json(rec))])
+
+    def lost(self, *args):
+        raise SystemExit("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(Pipeline, "_log", lost)
+        with pytest.raises(SystemExit):
+            pipe().run()
+    for q in spark.streams.active:
+        q.awaitTermination()
+    assert pipe().events().count() == 0 and pipe().read("raw").count() == 1
+    _land_json(spark, [("2", "2", "70", EPOCH_DAY1)], rec)
+    p = pipe()
+    p.run()
+    got = sorted((r.batch_id, r.num_input_rows, r.metrics_json) for r in p.events().collect())
+    assert got == [(0, None, '{"recovered": true}'), (1, 1, None)]
+    p.run()
+    assert p.events().count() == 2
 
 
 def test_failed_run_restores_conf_and_logs_completed_datasets(spark):
