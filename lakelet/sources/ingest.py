@@ -7,8 +7,8 @@ re-inferring (and drifting).  New files are then picked up exactly once per chec
 by Spark's file source.
 
 Nothing a file holds is lost without a trace: the column ``_rescued_data`` keeps fields
-that the schema does not know and lines that do not parse.  A CSV file whose header
-differs from the schema stops the stream.
+that the schema does not know, also those of objects inside fields, arrays and maps, by their
+path, and lines that do not parse.  A CSV file whose header differs from the schema stops the stream.
 """
 
 from __future__ import annotations
@@ -74,15 +74,43 @@ def infer_schema(
     return schema
 
 
+def _unknown(text: Column, kind: T.DataType, path: Column) -> Column | None:
+    """(path, value) of every member in a JSON text that ``kind`` has no place for; None if ``kind`` holds no
+    object.  Members of objects inside arrays and maps are found by position and key: ``items[2].colour``."""
+    none = F.array().cast("array<struct<path:string,value:string>>")
+    if isinstance(kind, T.StructType):
+        members = F.from_json(text, "map<string,string>")
+        known = F.array(*[F.lit(n) for n in kind.fieldNames()]).cast("array<string>")
+        own = F.map_entries(F.map_filter(members, lambda k, _: ~F.array_contains(known, k)))
+        found = [F.transform(own, lambda e: F.struct(F.concat(path, e["key"]).alias("path"), e["value"].alias("value")))]
+        for f in kind.fields:
+            inner = _unknown(F.try_element_at(members, F.lit(f.name)), f.dataType, F.concat(path, F.lit(f.name), F.lit(".")))
+            found += [] if inner is None else [inner]
+        return F.concat(*[F.coalesce(x, none) for x in found])
+    if isinstance(kind, T.ArrayType):
+        if _unknown(F.lit(""), kind.elementType, F.lit("")) is None:
+            return None
+        at = F.regexp_replace(path, "[.]$", "")  # the elements stand for the member itself
+        return F.flatten(F.transform(F.from_json(text, "array<string>"), lambda x, i: F.coalesce(
+            _unknown(x, kind.elementType, F.concat(at, F.lit("["), i.cast("string"), F.lit("]."))), none)))
+    if isinstance(kind, T.MapType):
+        if _unknown(F.lit(""), kind.valueType, F.lit("")) is None:
+            return None
+        return F.flatten(F.transform(F.map_entries(F.from_json(text, "map<string,string>")), lambda e: F.coalesce(
+            _unknown(e["value"], kind.valueType, F.concat(path, e["key"], F.lit("."))), none)))
+    return None
+
+
 def _json_lines(df: DataFrame, schema: T.StructType) -> list[Column]:
-    """The fields of JSON lines in ``value``, and what the schema has no place for."""
+    """The fields of JSON lines in ``value``, and what the schema has no place for at any depth, by path."""
     corrupt = "__corrupt"
     full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     row = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    unknown = F.array_except(F.json_object_keys("value"), F.array(*[F.lit(n) for n in schema.fieldNames()]))
-    fields = F.from_json("value", "map<string,string>")
-    rescued = F.when(row[corrupt].isNotNull(), F.col("value")).when(
-        F.size(unknown) > 0, F.to_json(F.map_filter(fields, lambda k, _: F.array_contains(unknown, k))))
+    unknown = _unknown(F.col("value"), schema, F.lit(""))
+    # a member may stand twice in an object: the last one counts, as for known members
+    last = F.aggregate(unknown, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
+                       lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["path"]), F.create_map(e["path"], e["value"])))
+    rescued = F.when(row[corrupt].isNotNull(), F.col("value")).when(F.size(unknown) > 0, F.to_json(last))
     return [*[row[n].alias(n) for n in schema.fieldNames()], rescued.alias(RESCUED)]
 
 

@@ -434,3 +434,36 @@ def test_csv_with_another_header_stops_and_long_rows_are_kept(spark):
     spark.createDataFrame([("a,c",), ("1,2",)], "v string").coalesce(1).write.mode("append").text(src)
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
         p.run()
+
+
+def test_new_members_at_any_depth_are_kept(spark):
+    """SC4: objects inside fields, arrays, arrays of arrays and maps; repeated members; other types than known."""
+    import json
+
+    from pyspark.sql import types as T
+
+    from lakelet.sources.ingest import RESCUED, incremental_source
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    run = new_run_dir(spark, "test-nested")
+    schema = T.StructType.fromDDL("id long, items array<struct<price:double,tag:struct<a:string>>>, box struct<x:int>, grid array<array<struct<k:int>>>, extra map<string,struct<m:int>>")
+    lines = [
+        {"id": 1, "items": [{"price": 1.5, "tag": {"a": "p"}}], "box": {"x": 1}, "grid": [[{"k": 1}]], "extra": {"u": {"m": 1}}},
+        {"id": 2, "items": [{"price": 1.0}, {"price": 2.0, "color": "red", "tag": {"a": "q", "b": [1, 2]}}], "box": {"x": 1, "y": {"z": None}},
+         "grid": [[], [{"k": 1}, {"k": 2, "l": 3}]], "extra": {"u": {"m": 1, "n": "w"}}, "new": True},
+        {"id": 3, "items": None, "box": None, "grid": [], "extra": None},
+        {"id": 4, "items": [], "box": {"x": "seven"}},
+    ]
+    text = [json.dumps(x) for x in lines] + ['{"id": 5, "new": 1, "new": 2}', '{"id": 6', "[1]", "   "]
+    spark.createDataFrame([(t,) for t in text], "value string").coalesce(1).write.text(f"{run}/src")
+    p = Pipeline(spark, "t", f"{run}/s", [Dataset("raw", lambda p: incremental_source(spark, "json", f"{run}/src", schema))])
+    p.run()
+    rows = p.read("raw").collect()
+    assert len(rows) == 7
+    got = {r.id: r for r in rows if r.id in (1, 2, 3, 5)}
+    assert got[1][RESCUED] is None and got[3][RESCUED] is None and got[1]["items"][0].tag.a == "p"
+    assert json.loads(got[2][RESCUED]) == {"items[1].color": "red", "items[1].tag.b": "[1,2]", "box.y": '{"z":null}', "grid[1][1].l": "3", "extra.u.n": "w", "new": "true"}
+    assert json.loads(got[5][RESCUED]) == {"new": "2"}
+    kept = {r[RESCUED] for r in rows}
+    assert {text[3], '{"id": 6', "[1]"} <= kept  # wrong types and broken lines whole
+    assert p.events().first().metrics_json == '{"rows_rescued": 5}'
