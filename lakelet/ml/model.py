@@ -9,6 +9,7 @@ saved pipeline so scoring applies exactly the same steps.
 from __future__ import annotations
 
 import json
+import math
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline as MLPipeline
@@ -70,17 +71,30 @@ def train_regressor(
     path = f"{new_run_dir(spark, 'training-set')}/rows"
     training_set.load_df().write.parquet(path)
     rows = spark.read.parquet(path)
-    unlabelled = rows.where(F.col(label).isNull()).count()
-    df = rows.where(F.col(label).isNotNull())
-    features = [c for c in df.columns if c != label]
-    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(10_000))
-    train, test = df.where(place < int(train_share * 10_000)), df.where(place >= int(train_share * 10_000))
+    known = F.col(label).isNotNull()
+    features = [c for c in rows.columns if c != label]
+    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns]), F.lit(10_000))
+    in_train = place < int(train_share * 10_000)
+    df = rows.where(known)
+    train, test = df.where(in_train), df.where(~in_train)
+    # one pass for all that the metrics count: rows without a label, and the error of the training mean
+    y, held = F.col(label).cast("double"), known & ~in_train
+    s = rows.agg(F.count_if(~known).alias("unlabelled"), F.count_if(known).alias("n"), F.count_if(held).alias("n_test"), F.avg(F.when(known & in_train, y)).alias("mean"),
+                 F.avg(F.when(held, y)).alias("test_mean"), F.avg(F.when(held, y * y)).alias("test_square")).first()
+    baseline = math.sqrt(max(0.0, s["test_square"] - 2 * s["mean"] * s["test_mean"] + s["mean"] ** 2)) if s["n_test"] and s["mean"] is not None else 0.0
     gbt = GBTRegressor(labelCol=label, featuresCol="__features", maxIter=max_iter, maxDepth=max_depth, seed=seed)
-    model = MLPipeline(stages=_feature_stages(features, label) + [gbt]).fit(train)
+    prepared = MLPipeline(stages=_feature_stages(features, label)).fit(train)
+    # the boosting rounds read the assembled vectors, not the files and the imputation
+    vectors = prepared.transform(train).select(label, "__features").persist()
+    try:
+        trees = gbt.fit(vectors)
+    finally:
+        vectors.unpersist()
+    model = PipelineModel([*prepared.stages, trees])
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     rmse = ev.evaluate(model.transform(test))
-    baseline = test.select(F.sqrt(F.avg((F.col(label) - F.lit(train.agg(F.avg(label)).first()[0])) ** 2))).first()[0]
-    return model, {"rmse": float(rmse), "rmse_mean_predictor": float(baseline or 0.0), "features": features, "rows_without_label": unlabelled}
+    return model, {"rmse": float(rmse), "rmse_mean_predictor": baseline, "features": features, "rows_without_label": s["unlabelled"],
+                   "held_out_share": s["n_test"] / s["n"] if s["n"] else 0.0}
 
 
 class ModelRegistry:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelet.sources.tables import sf_table
+from lakelet.functions.timefns import parse_timestamp
+from lakelet.sources.tables import preview, read_path_sql, sf_table
 
 
 def part_supply(lineitem: DataFrame) -> DataFrame:
@@ -32,7 +33,19 @@ def q_price_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_by_priority(sf_table(spark, sf_dir, "orders")).withColumn("total_price", F.round("total_price", 2))
 
 
+def q_orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC2, SK14, DT9, MA1, PR4: what a notebook shows of the orders read by their path in SQL: a renamed key,
+    a time from text (every tenth text is no time), whole prices."""
+    orders = read_path_sql(spark, f"{sf_dir.rstrip('/')}/orders.parquet").withColumnRenamed("o_orderkey", "order_key")
+    text = F.when(F.col("order_key") % 10 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    shown = orders.select("order_key", parse_timestamp(text).alias("placed_at"), F.round("o_totalprice", 0).alias("total_price"), "o_orderstatus")
+    return preview(shown.orderBy("order_key"))
+
+
 ORACLE = {
+    "orders_preview": """SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 10 <> 0 THEN date_trunc('second', o_orderdate) END AS placed_at,
+       round(o_totalprice, 0) AS total_price, o_orderstatus
+FROM orders ORDER BY o_orderkey LIMIT 1000""",
     "part_supply": """SELECT l_partkey AS ps_partkey, sum(l_quantity) AS total_availqty
 FROM lineitem GROUP BY l_partkey""",
     "price_by_priority": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,

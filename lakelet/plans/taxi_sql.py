@@ -99,7 +99,7 @@ SELECT * FROM trips
 WHERE tpep_pickup_datetime >= TIMESTAMP '{JAN_START}' AND tpep_pickup_datetime < TIMESTAMP '{MID_JAN}'
   AND substr(md5('123|' || pickup_zip || '|' || dropoff_zip || '|' || epoch_us(tpep_pickup_datetime)), 1, 8) < '19999999'"""
 
-SCORE_BATCH = TRAINING_SET.replace("SELECT t.fare_amount,", "SELECT true AS predicted, t.rounded_pickup_datetime, t.rounded_dropoff_datetime, t.fare_amount,")
+SCORE_BATCH = TRAINING_SET.replace("SELECT t.fare_amount,", "SELECT true AS predicted, true AS two_digits, true AS beats_mean, CAST(0.2 AS DOUBLE) AS held_out_share, t.rounded_pickup_datetime, t.rounded_dropoff_datetime, t.fare_amount,")
 
 FEATURE_CATALOG = f"""WITH {TRIPS_CTE},
 {merged_sql('pickup', 'pk')},
@@ -119,3 +119,14 @@ SELECT zip, ts, yyyy_mm, mean_fare_window_1h_pickup_zip,
        CAST(count_trips_window_1h_pickup_zip + CASE WHEN ts >= epoch(TIMESTAMP '{MID_JAN}') THEN 1000 ELSE 0 END AS INTEGER) AS count_trips_window_1h_pickup_zip
 FROM pickup p WHERE NOT EXISTS (SELECT 1 FROM later l WHERE l.zip = p.zip AND l.ts = p.ts)
 UNION ALL SELECT * FROM later"""
+
+TRIP_LABELS = f"""WITH {TRIPS_CTE}
+SELECT pickup_zip, dropoff_zip, fare_amount, strftime(tpep_pickup_datetime, '%Y-%m') AS month,
+       CAST(isodow(timezone('America/New_York', timezone('UTC', tpep_dropoff_datetime))) >= 6 AS INTEGER) AS is_weekend,
+       CAST(((epoch_us(tpep_pickup_datetime) + 899999999) // 900000000) * 900 AS INTEGER) AS pickup_mark,
+       CAST(((epoch_us(tpep_dropoff_datetime) + 1799999999) // 1800000000) * 1800 AS INTEGER) AS dropoff_mark
+FROM trips"""
+
+CLONE_FEATURES = f"""WITH {TRIPS_CTE},
+{merged_sql('pickup', 'pk')}
+SELECT 'source' AS table_name, * FROM pk_a UNION ALL SELECT 'clone', * FROM pk"""
