@@ -21,15 +21,21 @@ from lakelet.session import new_run_dir
 
 #: bytes of text that a Python task holds expanded at a time (one longer text is held alone)
 BATCH_BYTES = 1_000_000
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there, and a lost
-    executor costs no recomputation.  Column names are the operators' own, so none clash."""
+    executor costs no recomputation.  Column names are the operators' own, so none clash.  The step's
+    shuffle files, which nothing reads again, go when it ends."""
     spark = df.sparkSession
     path = f"{new_run_dir(spark, 'llm-' + label)}/t"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of finished steps
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

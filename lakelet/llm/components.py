@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelet.llm.common import stored
+from lakelet.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,6 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     labels = None
     while not edges.isEmpty():
         step = stored(both(edges).groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("old"), F.least("a", "b").alias("new")), "cc-step")
+        old = [edges, step] if labels is None else [edges, step, labels]
         if labels is None:
             labels = step.select(F.col("old").alias("node"), F.col("new").alias("root"))
         else:
@@ -33,6 +34,7 @@ def components(links: DataFrame) -> DataFrame:
         left = edges.join(step, edges["a"] == step["old"]).select(F.col("new").alias("a"), "b")
         right = left.join(step, left["b"] == step["old"]).select("a", F.col("new").alias("b"))
         edges = stored(right.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-links")
+        discard(*old)  # the next round reads the new tables alone
     if labels is None:
         labels = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return labels
