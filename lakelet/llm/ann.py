@@ -155,11 +155,12 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = 8
         fast, out = xu.astype(np.float32), []
         for lo in range(0, len(q), 256):
             found, _ = beam(fast, graph, qu[lo:lo + 256].astype(np.float32), min(search_width, max(len(x), 1)), entry)
-            found = found[:, :4 * (k + 1)]
-            exact = np.einsum("qcd,qd->qc", xu[np.maximum(found, 0)], qu[lo:lo + 256])
-            for f, s in zip(found, exact):
-                best = sorted((-float(v), ids[c][0], int(c)) for c, v in zip(f, s) if c >= 0)[:k + 1]
-                out.append([(c, -v) for v, _, c in best])
+            for i in range(0, len(found), 32):  # all that the beam found is scored exactly
+                part = found[i:i + 32]
+                exact = np.einsum("qcd,qd->qc", xu[np.maximum(part, 0)], qu[lo + i:lo + i + 32])
+                for f, s in zip(part, exact):
+                    best = sorted((-float(v), ids[c][0], int(c)) for c, v in zip(f, s) if c >= 0)[:k + 1]
+                    out.append([(c, -v) for v, _, c in best])
         return out
 
     groups = vectors.classes(valid(rows, id_col, vec_col), k, "ann-classes")

@@ -109,6 +109,13 @@ def labelled_sample(labels: DataFrame, label: Column, train: Column, per_class:
     return out
 
 
+def sampled_texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, y, text) of sampled ids: one row an id, however many rows of ``docs`` hold it (the least
+    text of them), so a sample of n ids has at most n rows."""
+    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+
+
 #: base of the word hash; words longer than SHORT bytes get another hash, as this one is weak on very long strings
 _BASE, SHORT = 0x9E3779B97F4A7C15, 64
 

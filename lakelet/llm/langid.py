@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakelet.llm.bpe import LETTER, code_classes, ranges
@@ -173,6 +173,35 @@ def label_words(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]
     return forward_backward(model.emissions(words), fresh, model.start, model.move), words.at
 
 
+def expectations(emissions: np.ndarray, at: np.ndarray, start: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of the labels at every place of joined chains (offsets ``at``, none empty), and how often
+    each label is expected to follow each: forward x move x emission x backward, summed over all places."""
+    lens = np.diff(at)
+    k, longest = emissions.shape[1], int(lens.max())
+    chain = np.repeat(np.arange(len(lens)), lens)
+    place = np.arange(len(chain)) - np.repeat(at[:-1], lens)
+    e = np.ones((len(lens), longest, k))
+    e[chain, place] = np.exp(emissions - emissions.max(1, keepdims=True))
+    begin, go = np.exp(start - start.max()), np.exp(move - move.max())
+    ahead, back = np.empty_like(e), np.ones_like(e)
+    v = begin * e[:, 0]
+    for t in range(longest):
+        v = (v @ go) * e[:, t] if t else v
+        v = v / v.sum(1, keepdims=True)
+        ahead[:, t] = v
+    for t in range(longest - 2, -1, -1):
+        v = (e[:, t + 1] * back[:, t + 1]) @ go.T
+        back[:, t] = np.where((t + 1 < lens)[:, None], v / v.sum(1, keepdims=True), 1.0)
+    p = ahead * back
+    p /= p.sum(2, keepdims=True)
+    pairs = np.zeros((k, k))
+    for t in range(1, longest):
+        on = t < lens
+        joint = ahead[on, t - 1][:, :, None] * go[None] * (e[on, t] * back[on, t])[:, None, :]
+        pairs += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
+    return p[chain, place], pairs
+
+
 def _chains(at: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
     """(places of words, languages): one to three stretches joined, mostly one language, some switches."""
     pool = np.flatnonzero(np.diff(at) > 0)
@@ -212,23 +241,19 @@ def fit_weights(words: Words, y: np.ndarray, langs: list[str], lexicon: np.ndarr
             part = [chains[i] for i in order[lo:lo + batch]]
             word = words.which[np.concatenate([c for c, _ in part])]
             own = np.concatenate([v for _, v in part])
+            begins = np.cumsum([0] + [len(c) for c, _ in part])
             fresh = np.zeros(len(word), dtype=bool)
-            fresh[np.cumsum([0] + [len(c) for c, _ in part[:-1]])] = True
+            fresh[begins[:-1]] = True
             n = count[word]
             flat = bucket[ranges(feature_at[word], n)]
             owner = np.repeat(np.arange(len(word)), n)
             share = 1 / np.sqrt(n)
             lean_here = leans[word]
             e = np.stack([np.bincount(owner, weights=model.weights[flat, j], minlength=len(word)) for j in range(k)], 1) * share[:, None] + lean_here * model.lex_weight
-            p = forward_backward(e, fresh.copy(), model.start, model.move)
-            diff = p.copy()
+            diff, move = expectations(e, begins, model.start, model.move)
             diff[np.arange(len(own)), own] -= 1
             grads = [np.stack([np.bincount(flat, weights=(diff[:, j] * share)[owner], minlength=BUCKETS) for j in range(k)], 1), (diff * lean_here).sum(0), diff[fresh].sum(0)]
-            # expected minus seen transitions, the pair probabilities from the neighbours' and the moves
-            inner = np.flatnonzero(~fresh)
-            pair = p[inner - 1][:, :, None] * np.exp(model.move)[None] * p[inner][:, None, :]
-            pair /= pair.sum((1, 2), keepdims=True)
-            move = pair.sum(0)
+            inner = np.flatnonzero(~fresh)  # expected minus seen transitions
             np.add.at(move, (own[inner - 1], own[inner]), -1)
             grads.append(move)
             for x, g, s in zip((model.weights, model.lex_weight, model.start, model.move), grads, seen):
@@ -270,20 +295,19 @@ def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 400, lexicon_w
     if train_fold:
         rows = rows.where(fold(F.col("doc_id"), train_fold[0]) != train_fold[1])
     rows = rows.where("lang is not null and length(text) > 0")
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    # one pass: the first ids of every language by a hash (Spark cuts each task's rows to that rank before they
+    # meet), each id once; at most per_lang rows a language, so they are sent to every task
+    order = F.xxhash64("doc_id")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
+    ids = stored(rows.groupBy("lang", "doc_id").agg(F.lit(0).alias("y")).withColumn("nth", nth).where(F.col("nth") <= per_lang), "langid-ids")
+    langs = sorted(r["lang"] for r in ids.select("lang").distinct().collect())  # a row a language
     if not langs:
         return None
-    order = F.xxhash64("doc_id")
-
-    def first_ids(n: int) -> DataFrame:
-        out = None
-        for g in langs:
-            own = rows.where(F.col("lang") == g).select("doc_id", "lang").orderBy(order, "doc_id").limit(n)
-            out = own if out is None else out.unionByName(own)
-        return stored(out.distinct(), "langid-ids")
-
-    # at most per_lang rows a language, so they are sent to every task
-    lexicon, lean = _lexicon(rows.join(F.broadcast(first_ids(per_lang)), ["doc_id", "lang"]), langs, lexicon_words)
+    wanted = F.broadcast(ids.select("lang", F.col("doc_id").alias("own_id"), "nth"))
+    chosen = rows.join(wanted, (rows["lang"] == wanted["lang"]) & rows["doc_id"].eqNullSafe(wanted["own_id"])).select(rows["lang"], "own_id", "nth", "text")
+    # an id that stands on many rows counts with one text
+    sample = stored(chosen.groupBy("lang", "own_id", "nth").agg(F.min("text").alias("text")), "langid-sample")
+    lexicon, lean = _lexicon(sample, langs, lexicon_words)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch, texts in slices(batches):
@@ -291,8 +315,8 @@ def fit(docs: DataFrame, per_lang: int = 1000, chain_texts: int = 400, lexicon_w
             at = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
             yield {"lang": batch.column(0).take(pa.array(at)), "nth": batch.column(1).take(pa.array(at)), "text": [x for p in parts for x in p]}
 
-    chosen = rows.join(F.broadcast(first_ids(chain_texts)), ["doc_id", "lang"]).select("lang", order.alias("nth"), "text")
-    picked = map_arrow(chosen, cut, "lang string, nth long, text string").collect()
+    firsts = sample.where(F.col("nth") <= chain_texts).select("lang", F.col("nth").cast("long").alias("nth"), "text")
+    picked = map_arrow(firsts, cut, "lang string, nth long, text string").collect()  # two stretches a text
     picked.sort(key=lambda r: (r["nth"], r["lang"], r["text"]))
     words = Words.of([r["text"] for r in picked])
     if not len(words.which) or not len(lexicon):

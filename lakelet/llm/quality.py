@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelet.llm.common import batch_words, fold, labelled_sample, map_arrow, slices, stored
+from lakelet.llm.common import batch_words, fold, labelled_sample, map_arrow, sampled_texts, slices, stored
 
 BINS = 64
 #: byte classes counted as a share of the text
@@ -147,8 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 8000, train_fold: t
     train = fold(labels["doc_id"], train_fold[0]) != train_fold[1] if train_fold else F.lit(True)
     ids = stored(labelled_sample(labels, labels[label_col], train, per_class, [0, 1]), "quality-ids")
     # at most 2 * per_class rows, so they are sent to every task
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    sample = texts.join(F.broadcast(ids), "doc_id").select("y", "text")
+    sample = sampled_texts(docs, ids, id_col, text_col).select("y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for rows, chunk in slices(batches):

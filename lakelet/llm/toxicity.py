@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelet.llm.common import fold, labelled_sample, map_arrow, slices, stored
+from lakelet.llm.common import fold, labelled_sample, map_arrow, sampled_texts, slices, stored
 
 SIZES = (3, 4, 5)  # bytes of an n-gram
 BITS = 20  # of the bitmap
@@ -124,8 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 5000, n_features: i
     train = fold(labels["doc_id"], train_fold[0]) != train_fold[1] if train_fold else F.lit(True)
     ids = stored(labelled_sample(labels, labels[label_col], train, per_class, [0, 1]), "toxicity-ids")
     # at most 2 * per_class rows, so they are sent to every task
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    sample = stored(texts.join(F.broadcast(ids), "doc_id").select("text", "y"), "toxicity-sample")
+    sample = stored(sampled_texts(docs, ids, id_col, text_col).select("text", "y"), "toxicity-sample")
     count = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = count.get(1, 0), count.get(0, 0)
     if not n_pos or not n_neg:

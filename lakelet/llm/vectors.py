@@ -84,8 +84,11 @@ def best(index: DataFrame, queries: DataFrame, k: int, dtype: type, block_rows:
         return pa.table({"query_id": pa.array(q_out, pa.int64()), "vec_id": pa.array(v_out, pa.int64()),
                          "score": pa.array(s_out, pa.float64() if score_type == "double" else pa.int64())})
 
-    # every block of the stated query set meets every shard: blobs of bounded size, joined on the shard
-    pairs = packed.join(index, "dim")
+    # every block of the stated query set meets every shard: a row of each block for each shard (a row per
+    # vector length tells how many), joined on the shard, so tasks follow the shards
+    shards = index.groupBy("dim").agg(F.max("shard").alias("last"))
+    spread = packed.join(shards, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
+    pairs = spread.join(index, ["dim", "shard"])
     found = pairs.groupBy("dim", "shard", "block").applyInArrow(run, f"query_id long, vec_id long, score {score_type}")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
