@@ -21,14 +21,22 @@ TOKENIZER_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored under 0.3 stay, as they are.  The classifier learns from every labelled document."""
+    """Documents scored under 0.3 stay, as they are.  The classifier learns from every labelled document.
+
+    A null text is scored as an empty one; equal texts get equal scores, so repeated rows go or stay together;
+    ids have no influence; without labels of both kinds all rows get the known kind's score; no rows give none.
+    """
     ship(spark)
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), train_fold=None)
     return toxicity.keep_clean(docs, model, cut=0.3)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays (the smallest id): groups of links at 0.8 or more over 5-word shingles."""
+    """One document of each group stays (the smallest id): groups of links at 0.8 or more over 5-word shingles.
+
+    Null, empty and blank texts are linked with nothing and stay; equal rows are copies, one stays; rows without
+    an id give way to linked ones with an id, else one text of a group stays; no rows give none.
+    """
     ship(spark)
     kept = minhash.kept_rows(docs, width=5, num=80, den=100).groupBy("doc_id", "th").agg(F.count("*").alias("rows"))
     kept = stored(kept.select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_th"), "rows"), "pipeline-kept")
@@ -39,7 +47,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes under 200-byte strings that also start elsewhere leave the text; ``n_chars`` follows."""
+    """Bytes under 200-byte strings that also start elsewhere leave the text; ``n_chars`` follows.
+
+    Every copy of a string is cut, repeated rows included; null and shorter texts stay as they are; what is left
+    of a character cut in two is dropped; a text may become empty, its row stays; no rows give none.
+    """
     ship(spark)
     left = suffix.without_repeats(docs, length=200)
     names = suffix.row_names(docs)
@@ -51,7 +63,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every span that the scan finds becomes ``[SECRET]``; ``n_chars`` follows.  All documents stay."""
+    """Every span that the scan finds becomes ``[SECRET]``; ``n_chars`` follows.  All documents stay.
+
+    Spans that touch become one mark; null texts stay null; equal texts give equal results; ids have no
+    influence; no rows give none.
+    """
     ship(spark)
     net = secret_scan.fit(docs)
     names = docs.columns
@@ -69,7 +85,11 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 ids in as few sequences as best-fit finds, with their ids."""
+    """Pieces of at most 1024 ids in as few sequences as best-fit finds, with their ids.
+
+    Null and empty texts are the end id alone; repeated rows are packed each on its own; a null id stays null;
+    equal lengths take their places in the order of id and piece; no rows give none.
+    """
     ship(spark)
     return packing.pack(docs, TOKENIZER, TOKENIZER_RANKS, end_id=2, max_len=1024, with_ids=True)
 
