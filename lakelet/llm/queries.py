@@ -123,6 +123,35 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE n <= 5
 """
 
+# every 200-byte string counted by its hash; blocks keep the strings short that are cut from
+OP2_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), b AS (
+  SELECT r, 1000 * j AS lo, substr(h, 2000 * j + 1, 2398) AS part
+  FROM (SELECT r, h, unnest(range((length(h) // 2 + 999) // 1000)) AS j FROM d)
+), w AS (
+  SELECT r, lo + i AS i, md5_number(substr(part, 2 * i + 1, 400)) AS name
+  FROM (SELECT r, lo, part, unnest(range(length(part) // 2 - 199)) AS i FROM b)
+), c AS (
+  SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY name) > 1
+), f AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS first FROM c
+), u AS (
+  SELECT r, min(i) AS lo, max(i) + 200 AS hi
+  FROM (SELECT r, i, sum(first) OVER (PARTITION BY r ORDER BY i) AS run FROM f) GROUP BY r, run
+), t AS (
+  SELECT r, list({'lo': lo, 'hi': hi} ORDER BY lo) AS cut, sum(hi - lo) AS n_removed FROM u GROUP BY r
+), k AS (
+  SELECT doc_id, h, coalesce(n_removed, 0) AS n_removed, coalesce(len(cut), 0) AS n_spans,
+    list_concat([0], [x.hi FOR x IN coalesce(cut, [])]) AS los, list_concat([x.lo FOR x IN coalesce(cut, [])], [length(h) // 2]) AS his
+  FROM d LEFT JOIN t ON t.r = d.r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+  sha256(unhex(array_to_string([h[2 * lo + 1:2 * his[j]] FOR lo, j IN los], ''))) AS kept_sha256
+FROM k
+"""
+
 # links by a join on shingles, components by reachability: for tables of a thousand documents or so
 OP3_SQL = r"""
 WITH RECURSIVE w AS (
@@ -149,4 +178,4 @@ FROM s JOIN r ON r.doc_id = s.doc_id
 GROUP BY s.doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_minhash_forest": OP3_SQL, "op8_covertree": OP8_SQL, "op12_conversation_repair": OP12_SQL, "op13_prefix_trie": OP13_SQL}
+ORACLE: dict[str, str] = {"op2_suffix_dedup": OP2_SQL, "op3_minhash_forest": OP3_SQL, "op8_covertree": OP8_SQL, "op12_conversation_repair": OP12_SQL, "op13_prefix_trie": OP13_SQL}

@@ -185,6 +185,21 @@ def test_op2_on_the_table(spark, texts):
     assert got == want
 
 
+def test_op2_sql_on_odd_rows(spark):
+    rng = random.Random(8)
+    part = ["".join(rng.choice("abé \n") for _ in range(n)) for n in (260, 199, 1200, 150)]
+    texts = [None, "", "short", part[0], part[1] * 2, part[2] + part[0], part[0] + "z" + part[2][100:900], part[3] + part[2], "é" * 400, part[1] + "q", part[3]]
+    rows = [(i if i % 4 else None, t) for i, t in enumerate(texts)] + [(3, part[0]), (3, part[0]), (5, "another text")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.sql(queries.OP2_SQL).fetchall()
+    got = suffix.removal_digests(spark.createDataFrame(rows, "doc_id long, text string"), 200).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+    assert sum(r[2] > 0 for r in want) > 6
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_suffix_on_dense_repeats(spark, seed):
     random.seed(seed)
