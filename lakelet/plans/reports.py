@@ -1,4 +1,4 @@
-"""Dashboard queries of the SQL course (AG7, AG8), over the TPC-H style tables."""
+"""Dashboard queries of the SQL course (AG7, AG8), a preview and a file inventory, over the TPC-H style tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelet.functions.timefns import parse_timestamp
-from lakelet.sources.tables import preview, read_path_sql, sf_table
+from lakelet.session import new_run_dir
+from lakelet.sources.tables import file_inventory, preview, read_path, read_path_sql, sf_table
 
 
 def part_supply(lineitem: DataFrame) -> DataFrame:
@@ -42,7 +43,22 @@ def q_orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(shown.orderBy("order_key"))
 
 
+def q_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC12: the inventory of a table written by month, held against the files that its rows are read from:
+    per month the rows, and whether the inventory names exactly their files, none of them empty."""
+    path = f"{new_run_dir(spark, 'order-files')}/orders"
+    orders = sf_table(spark, sf_dir, "orders")
+    orders.withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM")).repartition("order_month").write.partitionBy("order_month").parquet(path)
+    month = F.regexp_extract("path", "order_month=([^/]+)/", 1)
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    files = file_inventory(spark, path).select(month.alias("order_month"), name.alias("file"), "length")
+    rows = read_path(spark, path).groupBy(F.col("order_month").cast("string").alias("order_month"), F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
+    both = files.join(rows, ["order_month", "file"], "full")
+    return both.groupBy("order_month").agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("n").isNotNull() & (F.coalesce("length", F.lit(0)) > 0)).alias("all_listed"))
+
+
 ORACLE = {
+    "order_files": "SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS n_rows, true AS all_listed FROM orders GROUP BY 1",
     "orders_preview": """SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 10 <> 0 THEN date_trunc('second', o_orderdate) END AS placed_at,
        round(o_totalprice, 0) AS total_price, o_orderstatus
 FROM orders ORDER BY o_orderkey LIMIT 1000""",
