@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelet.operators.joins import hot_keys, key_hash
 from lakelet.session import shared_dir
-from lakelet.store.versions import ConcurrentWriteError, VersionedTable, ensure_table
+from lakelet.store.versions import ZERO, ConcurrentWriteError, VersionedTable, ensure_table
 
 _META_SCHEMA = T.StructType(
     [
@@ -40,6 +41,7 @@ _META_SCHEMA = T.StructType(
         T.StructField("written_at", T.TimestampType()),
         # {partition column: SQL expression over the key columns}, when partitions follow keys
         T.StructField("partition_expr_json", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),  # by the keys; null: none
     ]
 )
 
@@ -119,9 +121,12 @@ def merge_versioned(
         old = old.where(_partition_filter(table.parts, touched))
     united = old.select(*cols, F.lit(0).alias("_new")).unionByName(batch.select(*cols, F.lit(1).alias("_new")))
     row = F.struct(*[F.col(c) for c in cols])
-    merged = united.groupBy(*keys).agg(F.max_by(row, "_new").alias("_row"), F.sum("_new").alias("_n"))
+    grouping = table.grouping(keys)
+    merged = table.clustered(united).groupBy(*grouping).agg(F.max_by(row, "_new").alias("_row"), F.sum("_new").alias("_n"))
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-    written = table.write(merged.observe(obs, F.max("_n").alias("most")).select("_row.*"))
+    # keys as they were grouped: the writer sees that rows are in their buckets' places
+    rest = [F.col("_row")[c].alias(c) for c in cols if c not in keys]
+    written = table.write(merged.observe(obs, F.max("_n").alias("most")).select(*grouping, *rest))
     if (obs.get["most"] or 0) > 1:
         table.discard(written)
         raise DuplicateKeyError(f"duplicate primary keys {keys}")
@@ -227,20 +232,27 @@ class FeatureStore:
         partition_columns: list[str] | str | None = None,
         description: str = "",
         partition_expr: dict[str, str] | None = None,
+        buckets: int | None = None,
     ) -> dict:
         """SK9: write ``df`` as a new keyed table; duplicate keys are refused.
 
         ``partition_expr`` optionally records how each partition column is computed
         from the key columns (SQL text), which lets lookups read only the partitions
         their input can match (``lookup(..., prune_partitions=True)``).
+
+        ``buckets`` keeps every partition in so many buckets by the keys, for tables that are looked up often:
+        the table's side of a lookup is then not shuffled.  Take the session's shuffle partitions at least;
+        Spark shuffles both sides where there are fewer buckets.
         """
         keys = [primary_keys] if isinstance(primary_keys, str) else list(primary_keys)
         parts = [partition_columns] if isinstance(partition_columns, str) else list(partition_columns or [])
         exists = self._meta().where(F.col("name") == name).limit(1).count() > 0
         if exists:
             raise ValueError(f"feature table {name!r} already exists")
+        if buckets is not None and (buckets < 1 or set(keys) & set(parts)):
+            raise ValueError("buckets: one at least, and keys that are no partition columns")
         path = f"{self.root}/tables/{name}-{uuid.uuid4().hex[:8]}"
-        table = VersionedTable(self.spark, path, df.schema, parts)
+        table = VersionedTable(self.spark, path, df.schema, parts, buckets=(buckets, keys) if buckets else None)
         rows = self._write_checked(table, df, keys, partition_expr, name)
         spec = {
             "name": name,
@@ -252,6 +264,7 @@ class FeatureStore:
             "row_count": rows,
             "version": 1,
             "partition_expr_json": json.dumps(partition_expr) if partition_expr else None,
+            "buckets": buckets,
         }
         self._record(spec)
         return spec
@@ -261,9 +274,10 @@ class FeatureStore:
         counts duplicates on its way to the files, and nothing is published if there are any."""
         cols = table.schema.fieldNames()
         rest = [c for c in cols if c not in keys]
-        one = df.groupBy(*keys).agg(F.first(F.struct(*rest)).alias("_rest"), F.count(F.lit(1)).alias("_n"))
+        grouping = table.grouping(keys)
+        one = table.clustered(df).groupBy(*grouping).agg(F.first(F.struct(*rest)).alias("_rest"), F.count(F.lit(1)).alias("_n"))
         wrong = F.lit(0) if not partition_expr else F.when(~F.expr(" AND ".join(f"({e}) <=> `{c}`" for c, e in partition_expr.items())), 1).otherwise(0)
-        flat = one.select(*keys, *[F.col("_rest")[c].alias(c) for c in rest], "_n") if rest else one.select(*keys, "_n")
+        flat = one.select(*grouping, *[F.col("_rest")[c].alias(c) for c in rest], "_n") if rest else one.select(*grouping, "_n")
         obs = Observation(f"create_{uuid.uuid4().hex[:8]}")
         flat = flat.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_n").alias("most"), F.max(wrong).alias("wrong"))
         written = table.write(flat)
@@ -308,7 +322,8 @@ class FeatureStore:
 
     def _table(self, spec: dict) -> VersionedTable:
         schema = T.StructType.fromJson(json.loads(spec["schema_json"]))
-        return VersionedTable(self.spark, spec["path"], schema, list(spec["partition_columns"]))
+        buckets = (spec["buckets"], list(spec["primary_keys"])) if spec.get("buckets") else None
+        return VersionedTable(self.spark, spec["path"], schema, list(spec["partition_columns"]), buckets=buckets)
 
     def clone_table(self, name: str, new_name: str) -> dict:
         """SK13: a feature table with the rows of ``name`` and no copied file; both change on their own from here."""
@@ -338,7 +353,8 @@ class FeatureStore:
         keys = list(spec["primary_keys"])
         if len(keys) != len(lookup.lookup_key):
             raise ValueError(f"{lookup.table_name}: lookup_key has {len(lookup.lookup_key)} columns, table keys {keys}")
-        table = self._table(spec).read()
+        stored = self._table(spec)
+        table = stored.read_bucketed() if stored.buckets else stored.read().withColumn(ZERO, F.lit(0).cast("long"))
         exprs = json.loads(spec["partition_expr_json"]) if spec.get("partition_expr_json") else None
         if df is not None and exprs:
             # the partitions the input can match: the recorded expressions over the input's lookup keys, one row
@@ -352,7 +368,7 @@ class FeatureStore:
                 same = table[c] == wanted[f"__want{i}"]
                 cond = same if cond is None else cond & same
             table = table.join(F.broadcast(wanted), cond, "left_semi")
-        return table.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *lookup.feature_names)
+        return table.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], ZERO, *lookup.feature_names)
 
     def lookup(self, df: DataFrame, lookups: list[FeatureLookup], prune_partitions: bool = False) -> DataFrame:
         """JN3: one LEFT equi-join per lookup, chained; every input row is kept once.
@@ -366,23 +382,60 @@ class FeatureStore:
         partitions the input's keys fall in -- one more pass over the input's key
         columns, in the same query -- and reads only those: the choice for scoring a
         recent slice against a long history; leave it off when the input spans the table.
+
+        A bucketed table is not shuffled (the input's key columns need the table's types for that), so adaptive
+        execution cannot split a hot key.  A sketch, one pass over the input's keys, finds keys of more than an
+        even bucket's rows (256 at most).  Their rows are spread like those without a key and take their features
+        from a broadcast of the table's rows of these keys, one each, which costs one more pass over the table
+        where there are any.
         """
         out = df
         for lu in lookups:
             side = self._lookup_side(lu, df if prune_partitions else None)
-            missing = out[lu.lookup_key[0]].isNull()
+            names = [f"__key{i}" for i in range(len(lu.lookup_key))]
+            apart = out[lu.lookup_key[0]].isNull()
             for k in lu.lookup_key[1:]:
-                missing = missing | out[k].isNull()
-            # a second key part: 0 where all keys are there, else spread over negative numbers
-            spread = F.when(missing, -1 - F.pmod(F.xxhash64(*[out[c] for c in out.columns]), F.lit(1 << 20))).otherwise(F.lit(0))
-            out = out.withColumn("__spread", spread)
-            side = side.withColumn("__zero", F.lit(0).cast("long"))
-            cond = out["__spread"] == side["__zero"]
-            for i, k in enumerate(lu.lookup_key):
-                cond = cond & (out[k] == side[f"__key{i}"])
-            out = out.join(side, cond, "left").drop("__spread", "__zero", *[f"__key{i}" for i in range(len(lu.lookup_key))])
+                apart = apart | out[k].isNull()
+            buckets = self.get_table(lu.table_name).get("buckets")
+            hot = self._hot_lookups(df, side, lu, buckets) if buckets else []
+            if hot:
+                apart = apart | F.coalesce(self._lookup_hash(side, lu).isin(hot), F.lit(False))
+            # a last key part: 0 where the row may match, else spread over negative numbers (never a literal,
+            # which would be folded out of the join and leave fewer columns than the buckets have)
+            row = F.xxhash64(*[out[c] for c in out.columns])
+            spread = F.when(apart, -1 - F.pmod(row, F.lit(1 << 20))).otherwise(row.bitwiseAND(F.lit(0)))
+            base, out = out.columns, out.withColumn("__spread", spread)
+            if hot:
+                out = self._with_hot_features(out, base, side, lu, hot)
+                continue
+            cond = out["__spread"] == side[ZERO]
+            for n, k in zip(names, lu.lookup_key):
+                cond = cond & (out[k] == side[n])
+            out = out.join(side, cond, "left").drop("__spread", ZERO, *names)
         return out
 
+    def _lookup_hash(self, side: DataFrame, lu: FeatureLookup):
+        """Hash of an input row's lookup key, in the types of the table's keys."""
+        return key_hash(*[F.col(k).try_cast(side.schema[f"__key{i}"].dataType) for i, k in enumerate(lu.lookup_key)])
+
+    def _hot_lookups(self, df: DataFrame, side: DataFrame, lu: FeatureLookup, buckets: int) -> list[int]:
+        """Hashes of the keys that hold more of the input than an even bucket."""
+        return list(hot_keys(df.dropna(subset=lu.lookup_key), self._lookup_hash(side, lu), buckets))
+
+    def _with_hot_features(self, out: DataFrame, base: list[str], side: DataFrame, lu: FeatureLookup, hot: list[int]) -> DataFrame:
+        """``base`` and the features: rows of hot keys (their ``__spread`` is negative) from a broadcast of the
+        table's rows of these keys, all others from the buckets."""
+        names = [f"__key{i}" for i in range(len(lu.lookup_key))]
+        few = side.where(key_hash(*names).isin(hot)).drop(ZERO)
+        few = few.toDF(*[f"__few{i}" for i in range(len(names))], *[f"__hot{i}" for i in range(len(lu.feature_names))])
+        side = side.toDF(*names, ZERO, *[f"__feature{i}" for i in range(len(lu.feature_names))])
+        stored, held = out["__spread"] == side[ZERO], out["__spread"] < 0
+        for i, k in enumerate(lu.lookup_key):
+            stored, held = stored & (out[k] == side[names[i]]), held & (out[k] == few[f"__few{i}"])
+        joined = out.join(side, stored, "left").join(F.broadcast(few), held, "left")
+        features = [F.when(F.col("__spread") < 0, F.col(f"__hot{i}")).otherwise(F.col(f"__feature{i}")).alias(f) for i, f in enumerate(lu.feature_names)]
+        return joined.select(*[out[c] for c in base], *features)
+
     def create_training_set(
         self,
         df: DataFrame,
