@@ -1,7 +1,10 @@
-"""Repeated substrings by distributed prefix doubling over content-chosen positions.
+"""Repeated substrings by counting hashed strings of growing length at content-chosen positions.
+
+This stands in place of distributed prefix doubling, whose rank tables did not fit the disk budget (figures in
+the README): no rank pairs are sorted.
 
 Wanted: every byte covered by a ``length``-byte string (a *window*) that also starts anywhere else.
-Plain prefix doubling ranks every byte position; here only *anchors* are ranked.  The anchor of a
+Prefix doubling would rank every byte position; here only *anchors* are named.  The anchor of a
 window is the position of its smallest 8-byte hash among the first ``span`` positions (the leftmost
 one), so it depends on the window's bytes alone: equal windows have equal anchors at equal offsets.
 About ``span / 2`` neighbouring windows share an anchor, which leaves one position in 64.
