@@ -138,3 +138,14 @@ def test_unpartitioned_empty_and_old_names(spark):
     assert not spark.sql("SHOW TABLES LIKE 'lakelet_load_*'").collect()
     with pytest.raises(ValueError):
         st.create_table("bad", ["zip", "yyyy_mm"], _features(spark, 3), "yyyy_mm", buckets=BUCKETS)
+
+
+def test_grouping_by_key_is_the_exchange_that_places_buckets(spark, capsys):
+    from lakelet.store.versions import VersionedTable
+
+    rows = _features(spark, 100)
+    table = VersionedTable(spark, new_run_dir(spark, "test-buckets"), rows.schema, ["yyyy_mm"], buckets=(BUCKETS, ["zip", "ts"]))
+    both = rows.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
+    merged = table.clustered(both).groupBy(*table.grouping(["zip", "ts"])).agg(F.max_by("v", "_new").alias("v"), F.sum("_new").alias("n"))
+    assert sum("Exchange" in ln for ln in _plan(merged, capsys)) == 1
+    assert merged.where("n = 1").count() == 100
