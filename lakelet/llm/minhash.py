@@ -12,7 +12,8 @@ Candidates are confirmed on the full shingle sets.  Three kinds are used one aft
 1. every document with the leader (smallest key) of its region: a star, so a group of thousands
    costs a few pairs a document, not all pairs;
 2. every document with its ``near`` predecessors of the order, longest common prefix first, but only
-   where the first links left the two in different components;
+   where the first links left the two in different components: the scan knows the components, so a
+   group that hangs together by its leaders makes no rows of pairs here;
 3. every pair of classes, still in different components, that shares a region of more classes than
    the neighbours reach (``_crowded``).
 
@@ -99,16 +100,19 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _trees(classes: DataFrame) -> DataFrame:
+    """(tree, label, key, root) of every class in every tree; root: a number of its component, null without ``root``."""
+    root = F.col("root") if "root" in classes.columns else F.lit(None).cast("long")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            keys, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, labels, roots = (batch.column(i).to_pylist() for i in range(3))
             for lo in range(0, len(keys), 2000):
                 part = labels[lo:lo + 2000]
                 yield {"tree": np.repeat(np.arange(TREES, dtype=np.int32), len(part)),
                        "label": [v[4 * DEPTH * t: 4 * DEPTH * (t + 1)] for t in range(TREES) for v in part],
-                       "key": keys[lo:lo + 2000] * TREES}
+                       "key": keys[lo:lo + 2000] * TREES, "root": roots[lo:lo + 2000] * TREES}
 
-    return map_arrow(classes.select("key", "labels"), run, "tree int, label binary, key binary")
+    return map_arrow(classes.select("key", "labels", root.alias("root")), run, "tree int, label binary, key binary, root long")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -119,12 +123,16 @@ def _common(a: bytes, b: bytes) -> int:
     return n
 
 
-def _scan(rows: Iterator[tuple[int, bytes, bytes]], min_depth: int, near: int, crowd: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """Candidates (kind, a, b) from sorted rows (tree, label, key); kind 1: with a leader, 2: with a neighbour."""
-    region: list[tuple[bytes, bytes]] = []
+Row = tuple[int, bytes, bytes, int | None]  # tree, label, key, root
+Pair = tuple[bytes, bytes]
+
+
+def _scan(rows: Iterator[Row], min_depth: int, near: int, crowd: int, leaders: bool) -> Iterator[Pair]:
+    """Candidates (a, b) from sorted rows: with the region's leader, or with neighbours of another component."""
+    region: list[tuple[bytes, bytes, int | None]] = []
     tree = None
 
-    def close(run: list[tuple[bytes, bytes]], depth: int) -> Iterator[tuple[int, bytes, bytes]]:
+    def close(run: list[tuple[bytes, bytes, int | None]], depth: int) -> Iterator[Pair]:
         if len(run) < 2:
             return
         if len(run) > crowd and depth < DEPTH:  # too crowded: one value deeper
@@ -134,20 +142,21 @@ def _scan(rows: Iterator[tuple[int, bytes, bytes]], min_depth: int, near: int, c
                     yield from close(run[lo:i], depth + 1)
                     lo = i
             # the deeper parts stay joined by their first members
-        leader = min(k for _, k in run)
-        for _, k in run:
+        leader = min(k for _, k, _ in run)
+        for _, k, _ in run:
             if k != leader:
-                yield 1, min(leader, k), max(leader, k)
+                yield min(leader, k), max(leader, k)
 
-    def flush() -> Iterator[tuple[int, bytes, bytes]]:
-        yield from close(region, min_depth)
-        for i, (label, key) in enumerate(region):
+    def flush() -> Iterator[Pair]:
+        if leaders:
+            yield from close(region, min_depth)
+            return
+        for i, (_, key, root) in enumerate(region):
             for j in range(max(0, i - near), i):
-                other = region[j][1]
-                if key != other:
-                    yield 2, min(key, other), max(key, other)
+                if region[j][2] != root:
+                    yield min(key, region[j][1]), max(key, region[j][1])
 
-    for t, label, key in rows:
+    for t, label, key, root in rows:
         if region and (t != tree or label[:4 * min_depth] != region[0][0][:4 * min_depth]):
             yield from flush()
             region = []
@@ -155,14 +164,15 @@ def _scan(rows: Iterator[tuple[int, bytes, bytes]], min_depth: int, near: int, c
             yield from flush()
             region = region[-near:]
         tree = t
-        region.append((label, key))
+        region.append((label, key, root))
     yield from flush()
 
 
-def _candidates(trees: DataFrame, min_depth: int, near: int, crowd: int) -> DataFrame:
-    """(a, b, kind) distinct; kind 1 where any tree gave a leader pair."""
+def _candidates(trees: DataFrame, min_depth: int, near: int, crowd: int, leaders: bool) -> DataFrame:
+    """(a, b) distinct: with ``leaders`` what any tree pairs with a leader, else neighbours of different roots."""
     ordered = trees.repartitionByRange("tree", "label", "key").sortWithinPartitions("tree", "label", "key")
-    schema = "kind int, a binary, b binary, part int, side int, nth int, tree int, label binary, key binary"
+    columns = ("tree", "label", "key", "root")
+    schema = "a binary, b binary, part int, side int, nth int, tree int, label binary, key binary, root long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         from pyspark import TaskContext
@@ -171,9 +181,9 @@ def _candidates(trees: DataFrame, min_depth: int, near: int, crowd: int) -> Data
         head: list[tuple] = []
         tail: list[tuple] = []
 
-        def rows() -> Iterator[tuple[int, bytes, bytes]]:
+        def rows() -> Iterator[Row]:
             for batch in batches:
-                for r in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                for r in zip(*(batch.column(i).to_pylist() for i in range(4))):
                     if len(head) < near:
                         head.append(r)
                     tail.append(r)
@@ -181,13 +191,12 @@ def _candidates(trees: DataFrame, min_depth: int, near: int, crowd: int) -> Data
                         del tail[:-near]
                     yield r
 
-        def table(out: list[tuple]) -> dict:
+        def table(out: list[Pair]) -> dict:
             n = len(out)
-            return {"kind": [x[0] for x in out], "a": [x[1] for x in out], "b": [x[2] for x in out],
-                    **{c: [None] * n for c in ("part", "side", "nth", "tree", "label", "key")}}
+            return {"a": [x[0] for x in out], "b": [x[1] for x in out], **{c: [None] * n for c in ("part", "side", "nth", *columns)}}
 
         out = []
-        for pair in _scan(rows(), min_depth, near, crowd):
+        for pair in _scan(rows(), min_depth, near, crowd, leaders):
             out.append(pair)
             if len(out) >= 20_000:
                 yield table(list(dict.fromkeys(out)))
@@ -195,20 +204,20 @@ def _candidates(trees: DataFrame, min_depth: int, near: int, crowd: int) -> Data
         yield table(list(dict.fromkeys(out)))
         # this task's last rows meet the next task's first rows
         edge = [(part, 0, i, *r) for i, r in enumerate(tail[-near:])] + [(part - 1, 1, i, *r) for i, r in enumerate(head)]
-        yield {"kind": [0] * len(edge), "a": [None] * len(edge), "b": [None] * len(edge),
-               **{c: [e[i] for e in edge] for i, c in enumerate(("part", "side", "nth", "tree", "label", "key"))}}
+        yield {"a": [None] * len(edge), "b": [None] * len(edge),
+               **{c: [e[i] for e in edge] for i, c in enumerate(("part", "side", "nth", *columns))}}
 
     found = stored(map_arrow(ordered, run, schema), "minhash-scan")
-    edges = found.where("kind = 0").groupBy("part").agg(F.sort_array(F.collect_list(F.struct("side", "nth", "tree", "label", "key"))).alias("rows"))  # 2 * near rows a task
+    edges = found.where("a IS NULL").groupBy("part").agg(F.sort_array(F.collect_list(F.struct("side", "nth", *columns))).alias("rows"))  # 2 * near rows a task
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for rows in batch.column(0).to_pylist():
-                out = list(_scan(((r["tree"], r["label"], r["key"]) for r in rows), min_depth, near, crowd))
-                yield {"kind": [x[0] for x in out], "a": [x[1] for x in out], "b": [x[2] for x in out]}
+                out = list(_scan((tuple(r[c] for c in columns) for r in rows), min_depth, near, crowd, leaders))
+                yield {"a": [x[0] for x in out], "b": [x[1] for x in out]}
 
-    across = map_arrow(edges.select("rows"), meet, "kind int, a binary, b binary")
-    pairs = stored(found.where("kind > 0").select("kind", "a", "b").unionByName(across).groupBy("a", "b").agg(F.min("kind").alias("kind")), "minhash-pairs")
+    across = map_arrow(edges.select("rows"), meet, "a binary, b binary")
+    pairs = stored(found.where("a IS NOT NULL").select("a", "b").unionByName(across).distinct(), "minhash-pairs")
     discard(found)
     return pairs
 
@@ -344,7 +353,7 @@ def _grouped(texts: DataFrame, width: int, num: int, den: int, min_depth: int, n
     classes = stored(signed.where("key is not null").groupBy("key").agg(best, F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels")), "minhash-classes")
     if not signed.groupBy("doc_id", "th").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
         texts = texts.dropDuplicates(["doc_id", "text"])  # repeated rows give a class its set once
-    pairs = _candidates(_trees(classes), min_depth, near, crowd)
+    led = _candidates(_trees(classes), min_depth, near, crowd, leaders=True)
 
     def sets_of(keys: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -354,19 +363,21 @@ def _grouped(texts: DataFrame, width: int, num: int, den: int, min_depth: int, n
 
         return stored(map_arrow(_rows_of(texts, classes.select("key", "best").join(keys.distinct(), "key")).select("text", "key"), run, "key binary, shingles array<long>"), "minhash-sets")
 
-    sets = sets_of(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))))
-    first = stored(_confirm(pairs.where("kind = 1"), sets, num, den), "minhash-links")
+    def both(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+
+    sets = sets_of(both(led))
+    first = stored(_confirm(led, sets, num, den), "minhash-links")
+    discard(sets)
     roots = components(first)
-    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    apart = (pairs.where("kind = 2").join(ra, "a", "left").join(rb, "b", "left")
-             .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
-    apart = stored(apart, "minhash-apart")
+    # neighbours become pairs only where the first links left them apart: a crowd that hangs together adds none
+    rooted = classes.join(roots, F.col("key") == F.col("node"), "left").select("key", "labels", F.xxhash64(F.coalesce("root", "key")).alias("root"))
+    apart = stored(_candidates(_trees(rooted), min_depth, near, crowd, leaders=False).join(led, ["a", "b"], "left_anti"), "minhash-apart")
+    sets = sets_of(both(apart))
     second = stored(_confirm(apart, sets, num, den), "minhash-links")
-    discard(apart)
+    discard(apart, led, sets)
     roots = components(first.unionByName(second)) if not second.isEmpty() else roots
 
-    discard(sets, pairs)
     crowd = _crowded(classes, roots, min_depth, near)
     if not crowd.isEmpty():
         sets = sets_of(crowd.select("key"))

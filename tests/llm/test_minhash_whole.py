@@ -45,3 +45,23 @@ def test_null_and_repeated_ids_are_linked(spark):
     left = sorted((r.doc_id or 0, r.text) for r in C.drop_near_duplicates(spark, df, "").collect())
     assert [i for i, _ in left] == [0, 0, 1, 7]
     assert left[0][1] == "" and left[1][1] in (lone, lone + " end") and left[2][1] in (near(5), near(120)) and left[3][1] == bridge[0]
+
+
+def test_a_group_linked_by_its_leaders_makes_no_neighbour_pairs(spark, monkeypatch):
+    """Rows made by the scans grow with the rows of a crowd of near copies, not with its pairs."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*words[:i % 60], f"x{i}", *words[i % 60 + 1:]])) for i in range(300)]
+    made = []
+    real = minhash._candidates
+
+    def counted(trees, *a, leaders):
+        out = real(trees, *a, leaders=leaders)
+        made.append((leaders, out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "_candidates", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(df, width=2).collect()
+    assert {(r.component_id, r.kept) for r in got} == {(0, True), (0, False)}
+    by = dict(made)
+    assert by[True] > 0 and by[False] == 0
