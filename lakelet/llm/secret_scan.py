@@ -6,12 +6,14 @@ characters with those around: characters are embedded, one convolution slides ov
 answers before, in and behind the window's inside go into a logistic unit.  A candidate has the largest
 probability of its windows.
 
-The network is trained on labelled findings of at most ``sample_docs`` texts (by a hash of the id).  Positive
+The network is trained on all labelled findings of all texts.  Positive
 is what the patterns find, in its own surroundings and in those of negatives, and as it would look in other
 shapes: its characters in another order, other letters in mixed case, letters alone, in groups with separators.  Negative are
 runs that are no plausible secrets (``is_plain``: words, words put together, plain numbers), and words of the
 texts put together as identifiers and paths are; other unmatched runs are not labelled and teach nothing.
-On held-out findings the output is calibrated (Platt scaling).  The threshold may be at most the highest that
+First weights come from a bounded part of the findings.  From there every shard of the findings (by a hash) trains on
+its own, and the weights are averaged; a shard keeps a fifth of its findings out.  On all of these the output is
+calibrated (Platt scaling), by the counts of a fine histogram.  The threshold may be at most the highest that
 keeps ``recall`` of the held-out positives; where fewer than ``false_marks`` of the held-out negatives pass from
 a lower one on, it is half way (in logits) between the two.
 
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelet.llm.common import map_arrow, slices, stored
+from lakelet.llm.common import discard, map_arrow, slices, stored
 
 # fixed values: the patterns and their least lengths
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -102,67 +104,91 @@ class Network:
     slope: float = 1.0  # calibration
     shift: float = 0.0
     threshold: float = 0.5
+    findings: int = 0  # that it was trained on
 
     PARTS = ((0, BEFORE), (BEFORE, BEFORE + INSIDE), (BEFORE + INSIDE, WIDTH))
 
     def _forward(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
-        e = self.embed[x]
         taps = self.filters.shape[0]
-        padded = np.pad(e, ((0, 0), (taps // 2, taps // 2), (0, 0)))
-        act = np.zeros((*x.shape, self.filters.shape[2]))
+        full = np.pad(x, ((0, 0), (taps // 2, taps // 2)))  # 0 is embedded as zeros
+        act = np.zeros((*x.shape, self.filters.shape[2]), dtype=self.embed.dtype)
         for k in range(taps):
-            act += padded[:, k:k + x.shape[1]] @ self.filters[k]
+            act += (self.embed @ self.filters[k])[full[:, k:k + x.shape[1]]]  # every character's answer to this tap
         act = np.maximum(act + self.bias, 0)
         where = np.stack([a + act[:, a:b].argmax(1) for a, b in self.PARTS], 1)  # rows x parts x filters
         pooled = np.take_along_axis(act, where, 1)
-        return padded, where, pooled, pooled.reshape(len(x), -1) @ self.dense + self.out
+        return full, where, pooled, pooled.reshape(len(x), -1) @ self.dense + self.out
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([self._forward(x[i:i + 512])[3] for i in range(0, len(x), 512)]) if len(x) else np.zeros(0)
+        return np.concatenate([self._forward(x[i:i + 64])[3] for i in range(0, len(x), 64)]) if len(x) else np.zeros(0)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.logit(x) + self.shift, -40, 40)))
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-        padded, where, pooled, z = self._forward(x)
-        d = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
+        full, where, pooled, z = self._forward(x)
+        d = ((1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)).astype(self.embed.dtype)
         g_dense = pooled.reshape(len(x), -1).T @ d
         g_pooled = (d[:, None] * self.dense).reshape(pooled.shape) * (pooled > 0)
-        g_filters, g_embed = np.zeros_like(self.filters), np.zeros_like(self.embed)
-        rows = np.arange(len(x))[:, None, None]
-        taps = self.filters.shape[0]
-        full = np.pad(x, ((0, 0), (taps // 2, taps // 2)))
-        for k in range(taps):
-            seen = padded[rows, where + k]  # rows x parts x filters x dim
-            g_filters[k] = np.einsum("rpf,rpfd->df", g_pooled, seen)
-            np.add.at(g_embed, full[rows, where + k], g_pooled[..., None] * self.filters[k].T[None, None])
+        taps, _, filters = self.filters.shape
+        # what each character at each tap adds to each filter's answer: both gradients follow from it
+        chars = np.arange(len(x))[:, None, None]
+        each = [np.bincount((full[chars, where + k].astype(np.intp) * filters + np.arange(filters)).ravel(), g_pooled.ravel(), len(self.embed) * filters) for k in range(taps)]
+        pulled = np.stack(each).reshape(taps, len(self.embed), filters)
+        g_filters = np.stack([self.embed.T @ g for g in pulled])
+        g_embed = sum(g @ f.T for g, f in zip(pulled, self.filters))
         g_embed[0] = 0
         return [g_embed, g_filters, g_pooled.sum((0, 1)), g_dense, np.array(d.sum())]
 
+    def params(self) -> list[np.ndarray]:
+        return [self.embed, self.filters, self.bias, self.dense, np.array(self.out)]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([p.ravel() for p in self.params()])
 
-def threshold(positive: np.ndarray, negative: np.ndarray, recall: float, false_marks: float) -> float:
+    def with_flat(self, values: np.ndarray) -> "Network":
+        parts = np.split(values, np.cumsum([p.size for p in self.params()])[:-1])
+        return Network(*(v.reshape(p.shape) for v, p in zip(parts[:4], self.params())), float(parts[4][0]))
+
+
+def threshold(positive: np.ndarray, negative: np.ndarray, recall: float, false_marks: float,
+              positive_weight: np.ndarray | None = None, negative_weight: np.ndarray | None = None) -> float:
     """From held-out probabilities: not above what keeps ``recall``, and half way down to where more than
-    ``false_marks`` of the negatives would pass."""
+    ``false_marks`` of the negatives would pass.  Weights: how much of the findings has each probability."""
     def logit(p: float) -> float:
         p = min(max(p, 1e-9), 1 - 1e-9)
         return float(np.log(p / (1 - p)))
 
-    high = float(np.sort(positive)[int((1 - recall) * len(positive))])
-    low = float(np.sort(negative)[::-1][int(false_marks * len(negative))]) if len(negative) else 0.0
+    def at(values: np.ndarray, weight: np.ndarray | None, share: float) -> float:
+        """The first value, in the order given, with more than ``share`` of the weight up to it."""
+        if weight is None:
+            return float(values[int(share * len(values))])
+        return float(values[min(np.searchsorted(np.cumsum(weight), share * weight.sum(), side="right"), len(values) - 1)])
+
+    def ordered(values: np.ndarray, weight: np.ndarray | None, sign: int) -> tuple[np.ndarray, np.ndarray | None]:
+        order = np.argsort(sign * values, kind="stable")
+        return values[order], None if weight is None else weight[order]
+
+    high = at(*ordered(positive, positive_weight, 1), 1 - recall)
+    low = at(*ordered(negative, negative_weight, -1), false_marks) if len(negative) else 0.0
     if low >= high:
         return high  # recall counts first
     return float(1 / (1 + np.exp(-(logit(low) + logit(high)) / 2)))
 
 
-def train(x: np.ndarray, y: np.ndarray, recall: float = 0.99, false_marks: float = 0.005, dim: int = 10, filters: int = 40, taps: int = 5, rounds: int = 8, seed: int = 5) -> Network:
-    """Adam on a part of the findings; calibration and threshold on the rest (a fifth)."""
+def fresh(dim: int = 10, filters: int = 40, taps: int = 5, seed: int = 5) -> Network:
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(y))
-    held, own = order[: max(1, len(y) // 5)], order[max(1, len(y) // 5):]
     net = Network(rng.normal(0, 0.3, (130, dim)), rng.normal(0, 0.2, (taps, dim, filters)), np.zeros(filters), rng.normal(0, 0.2, 3 * filters), 0.0)
     net.embed[0] = 0
-    params = [net.embed, net.filters, net.bias, net.dense, np.array(0.0)]
+    return net
+
+
+def train(net: Network, x: np.ndarray, y: np.ndarray, rng: np.random.Generator, rounds: int, rate: float) -> Network:
+    """Adam on the given findings, from the given weights."""
+    net = net.with_flat(net.flat().astype(np.float32))
+    params = net.params()
     m, v, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
+    own = np.arange(len(y))
     for _ in range(rounds):
         rng.shuffle(own)
         for lo in range(0, len(own), 64):
@@ -171,16 +197,26 @@ def train(x: np.ndarray, y: np.ndarray, recall: float = 0.99, false_marks: float
             for i, g in enumerate(net.gradients(x[part], y[part])):
                 m[i] += 0.1 * (g - m[i])
                 v[i] += 0.01 * (g * g - v[i])
-                params[i] -= 0.01 * (m[i] / (1 - 0.9 ** t)) / (np.sqrt(v[i] / (1 - 0.99 ** t)) + 1e-8)
+                params[i] -= rate * (m[i] / (1 - 0.9 ** t)) / (np.sqrt(v[i] / (1 - 0.99 ** t)) + 1e-8)
             net.out = float(params[4])
-    z, yh = net.logit(x[held]), y[held]
-    for _ in range(300):  # Platt scaling by gradient descent
-        d = 1 / (1 + np.exp(-np.clip(net.slope * z + net.shift, -40, 40))) - yh
-        net.slope -= 0.1 * float((d * z).mean())
-        net.shift -= 0.1 * float(d.mean())
-    p = net.probability(x[held])
-    if yh.any():
-        net.threshold = threshold(p[yh == 1], p[yh == 0], recall, false_marks)
+    return net.with_flat(net.flat().astype(np.float64))
+
+
+def calibrated(net: Network, kinds: np.ndarray, z: np.ndarray, n: np.ndarray, recall: float, false_marks: float) -> Network:
+    """Platt scaling and the threshold from the counts ``n`` of held-out outputs ``z`` by kind of finding."""
+    weight = np.zeros(len(n))
+    for kind, (_, share) in enumerate(MIX):
+        own = kinds == kind
+        weight[own] = share * n[own] / max(1, n[own].sum())
+    y = np.array([label for label, _ in MIX])[kinds]
+    weight /= max(weight.sum(), 1e-300)
+    for _ in range(300):  # gradient descent
+        d = (1 / (1 + np.exp(-np.clip(net.slope * z + net.shift, -40, 40))) - y) * weight
+        net.slope -= 0.1 * float((d * z).sum())
+        net.shift -= 0.1 * float(d.sum())
+    p = 1 / (1 + np.exp(-np.clip(net.slope * z + net.shift, -40, 40)))
+    if (y == 1).any():
+        net.threshold = threshold(p[y == 1], p[y == 0], recall, false_marks, weight[y == 1], weight[y == 0])
     return net
 
 
@@ -262,29 +298,83 @@ def put_together(words: list[bytes], rng: np.random.Generator) -> bytes:
     return sign.join([*(w.lower() for w in own), *([str(int(rng.integers(1, 3000))).encode()] if kind == 4 else [])])
 
 
-def fit(docs: DataFrame, sample_docs: int = 20_000, per_class: int = 3000, recall: float = 0.99, false_marks: float = 0.005,
-        id_col: str = "doc_id", text_col: str = "text") -> Network | None:
-    """Train on the findings of a bounded sample of texts; None without findings of both sorts."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    ids = stored(rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).distinct(), "secrets-ids")
-    # at most sample_docs rows, so they are sent to every task
-    found = stored(_findings(rows.join(F.broadcast(ids), "doc_id").select("text")).distinct(), "secrets-findings")
-    part = {k: found.where(F.col("y") == k).orderBy(F.xxhash64("x"), "x").limit(per_class).collect() for k in (0, 1, 2)}  # per_class rows each
-    if not part[0] or not part[1]:
-        return None
-    good, bad = (np.stack([np.frombuffer(r["x"], dtype=np.uint8) for r in part[k]]) for k in (1, 0))
-    words = [bytes(r["x"]) for r in part[2]] or [_inside(x) for x in bad]
-    rng = np.random.default_rng(3)
+#: kinds of finding: label, and what share of the calibration it has: positives as found, in the surroundings of
+#: negatives, in other shapes; negatives as found, put together, put together in the surroundings of positives
+MIX = ((1.0, 1.0), (1.0, 1.0), (1.0, 3.0), (0.0, 1.0), (0.0, 2.0), (0.0, 0.5))
+#: distinct findings of a shard, about; findings of each sort that give the first weights
+SHARD, START = 10_000, 3000
+#: held-out outputs are counted in steps of 1 / STEPS
+STEPS = 256
+
 
+def mixed(good: np.ndarray, bad: np.ndarray, words: list[bytes], extra: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, kinds) of all findings given and of those made from them, ``extra`` counting for the latter."""
     def placed(insides_: list[bytes], among: np.ndarray) -> np.ndarray:
-        return np.stack([_with_inside(among[rng.integers(len(among))], v) for v in insides_])
+        return np.stack([_with_inside(among[rng.integers(len(among))], v) for v in insides_]) if insides_ else np.zeros((0, WIDTH), dtype=np.uint8)
 
+    words = words or [_inside(x) for x in bad]
     values = [_inside(x) for x in good]
-    drawn = [reshaped(values[i], values[j], rng) for i, j in rng.integers(len(values), size=(3 * per_class, 2))]
-    names = [put_together(words, rng) for _ in range(2 * per_class)]
-    x = [good, placed(values, bad), placed(drawn, bad), bad, placed(names, bad), placed([put_together(words, rng) for _ in range(per_class // 2)], good)]
-    y = np.repeat([1.0, 1.0, 1.0, 0.0, 0.0, 0.0], [len(v) for v in x])
-    return train(np.concatenate(x), y, recall, false_marks)
+    drawn = [reshaped(values[i], values[j], rng) for i, j in rng.integers(len(values), size=(3 * extra, 2))]
+    names = [put_together(words, rng) for _ in range(2 * extra)]
+    x = [good, placed(values, bad), placed(drawn, bad), bad, placed(names, bad), placed([put_together(words, rng) for _ in range(extra // 2)], good)]
+    return np.concatenate(x), np.repeat(np.arange(6), [len(v) for v in x])
+
+
+def _arrays(y: list[int], x: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def windows(kind: int) -> np.ndarray:
+        return np.frombuffer(b"".join(v for v, k in zip(x, y) if k == kind), dtype=np.uint8).reshape(-1, WIDTH)
+
+    return windows(1), windows(0), [v for v, k in zip(x, y) if k == 2]
+
+
+def fit(docs: DataFrame, recall: float = 0.99, false_marks: float = 0.005, id_col: str = "doc_id", text_col: str = "text",
+        shard: int = SHARD, start: int = START) -> Network | None:
+    """Train on the findings of all texts; None without findings of both sorts."""
+    found = stored(_findings(docs.select(docs[text_col].alias("text"))).distinct(), "secrets-findings")
+    part = {k: found.where(F.col("y") == k).orderBy(F.xxhash64("x"), "x").limit(start).collect() for k in (0, 1, 2)}  # ``start`` rows each
+    if not part[0] or not part[1]:
+        return None
+    rows = sorted((r["y"], bytes(r["x"])) for k in part for r in part[k])
+    first = _arrays([y for y, _ in rows], [x for _, x in rows])
+    rng = np.random.default_rng(3)
+    x, kinds = mixed(*first, START, rng)
+    labels = np.array([y for y, _ in MIX])
+    net = train(fresh(), x, labels[kinds], rng, rounds=8, rate=0.01)
+    total = found.count()
+    shards = max(1, -(-total // shard))
+    # an own task for every shard, whatever its few bytes: training takes time, not space
+    dealt = found.withColumn("shard", F.pmod(F.xxhash64("x", "y"), F.lit(shards)).cast("int")).repartition(shards, "shard")
+
+    def share(table: pa.Table) -> tuple[np.random.Generator, np.ndarray, np.ndarray, np.ndarray]:
+        """A shard's findings and those made from them, the same at each call, and which of them are held out."""
+        number = table.column("shard")[0].as_py()
+        table = table.sort_by([("y", "ascending"), ("x", "ascending")])
+        good, bad, words = _arrays(table.column("y").to_pylist(), table.column("x").to_pylist())
+        own = np.random.default_rng((7, number))
+        extra = max(len(good), len(bad) // 10) if shards > 1 else START
+        made, of = mixed(good if len(good) else first[0], bad if len(bad) else first[1], words or first[2], extra, own)
+        return own, made, of, own.random(len(of)) < 0.2
+
+    def refine(table: pa.Table) -> pa.Table:
+        own, made, of, held = share(table)
+        n = int((~held).sum())
+        flat = train(net, made[~held], labels[of[~held]], own, rounds=1, rate=0.002).flat()
+        # whole numbers: their sum is the same in any order
+        return pa.table({"i": np.arange(len(flat), dtype=np.int32), "value": np.round(flat * n * 2 ** 24).astype(np.int64), "n": np.full(len(flat), n, dtype=np.int64)})
+
+    parts = dealt.groupBy("shard").applyInArrow(refine, "i int, value long, n long").groupBy("i").agg(F.sum("value").alias("value"), F.sum("n").alias("n")).orderBy("i").collect()  # a row a weight
+    net = net.with_flat(np.array([r["value"] / 2 ** 24 / max(1, r["n"]) for r in parts]))
+
+    def answers(table: pa.Table) -> pa.Table:
+        _, made, of, held = share(table)
+        z = np.round(np.clip(net.logit(made[held]), -40, 40) * STEPS).astype(np.int64)
+        return pa.table({"kind": of[held].astype(np.int32), "z": z}).group_by(["kind", "z"]).aggregate([("z", "count")]).select(["kind", "z", "z_count"]).rename_columns(["kind", "z", "n"])
+
+    counts = dealt.groupBy("shard").applyInArrow(answers, "kind int, z long, n long").groupBy("kind", "z").agg(F.sum("n").alias("n")).orderBy("kind", "z").collect()  # 6 * 80 * STEPS rows at most
+    net = calibrated(net, np.array([r["kind"] for r in counts]), np.array([r["z"] for r in counts]) / STEPS, np.array([r["n"] for r in counts]), recall, false_marks)
+    net.findings = total
+    discard(found)
+    return net
 
 
 def all_spans(texts: list[str], net: Network | None) -> tuple[list[list[Span]], list[list[Span]]]:
