@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.ml import Pipeline as MLPipeline
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Imputer, QuantileDiscretizer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,8 @@ SPLIT_SEED = 123
 TRAIN_SHARE = 0.75
 ROUNDS = 100
 DEPTH = 5
+#: values of a feature that the trees tell apart: Spark's default of ``maxBins``
+BINS = 32
 
 _REGISTRY_SCHEMA = T.StructType(
     [
@@ -43,14 +45,22 @@ _REGISTRY_SCHEMA = T.StructType(
 )
 
 
-def _feature_stages(features: list[str], label: str) -> list:
+def _feature_stages(features: list[str]) -> tuple[list, list[str], list[str]]:
     casts = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `__x_{c}`" for c in features)
     flags = ", ".join(f"CAST(`{c}` IS NULL AS DOUBLE) AS `__miss_{c}`" for c in features)
     prep = SQLTransformer(statement=f"SELECT *, {casts}, {flags} FROM __THIS__")
     imputed = [f"__imp_{c}" for c in features]
     imputer = Imputer(inputCols=[f"__x_{c}" for c in features], outputCols=imputed, strategy="mean")
-    assembler = VectorAssembler(inputCols=imputed + [f"__miss_{c}" for c in features], outputCol="__features")
-    return [prep, imputer, assembler]
+    return [prep, imputer], imputed, [f"__miss_{c}" for c in features]
+
+
+def _bins(train: DataFrame, columns: list[str], wide: list[str]) -> tuple[list, list[str]]:
+    """Stages that put the ``wide`` columns into ``BINS`` quantiles, and the columns the trees then read."""
+    if not wide:
+        return [], columns
+    names = {c: f"__bin_{c}" for c in wide}
+    cut = QuantileDiscretizer(inputCols=wide, outputCols=list(names.values()), numBuckets=BINS, handleInvalid="keep").fit(train)
+    return [cut], [names.get(c, c) for c in columns]
 
 
 def train_regressor(
@@ -82,15 +92,24 @@ def train_regressor(
     s = rows.agg(F.count_if(~known).alias("unlabelled"), F.count_if(known).alias("n"), F.count_if(held).alias("n_test"), F.avg(F.when(known & in_train, y)).alias("mean"),
                  F.avg(F.when(held, y)).alias("test_mean"), F.avg(F.when(held, y * y)).alias("test_square")).first()
     baseline = math.sqrt(max(0.0, s["test_square"] - 2 * s["mean"] * s["test_mean"] + s["mean"] ** 2)) if s["n_test"] and s["mean"] is not None else 0.0
-    gbt = GBTRegressor(labelCol=label, featuresCol="__features", maxIter=max_iter, maxDepth=max_depth, seed=seed)
-    prepared = MLPipeline(stages=_feature_stages(features, label)).fit(train)
-    # the boosting rounds read the assembled vectors, not the files and the imputation
-    vectors = prepared.transform(train).select(label, "__features").persist()
+    stages, imputed, missed = _feature_stages(features)
+    prepared = MLPipeline(stages=stages).fit(train)
+    filled = prepared.transform(train)
+    distinct = filled.agg(*[F.approx_count_distinct(c).alias(c) for c in imputed]).first()
+    cuts, columns = _bins(filled, imputed, [c for c in imputed if distinct[c] > BINS])
+    # trees read features in bins: training rows of the same bins are one row, their mean label weighted by their
+    # number, which gives each split the same gain; the boosting rounds read these rows, not the files
+    inputs = columns + missed
+    assembler = VectorAssembler(inputCols=inputs, outputCol="__features")
+    grouped = (MLPipeline(stages=cuts).fit(filled).transform(filled).groupBy(*inputs)
+               .agg(F.avg(F.col(label).cast("double")).alias(label), F.count("*").cast("double").alias("__rows")))
+    vectors = assembler.transform(grouped).select(label, "__rows", "__features").persist()
+    gbt = GBTRegressor(labelCol=label, featuresCol="__features", weightCol="__rows", maxIter=max_iter, maxDepth=max_depth, maxBins=BINS, seed=seed)
     try:
         trees = gbt.fit(vectors)
     finally:
         vectors.unpersist()
-    model = PipelineModel([*prepared.stages, trees])
+    model = PipelineModel([*prepared.stages, *cuts, assembler, trees])
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     rmse = ev.evaluate(model.transform(test))
     return model, {"rmse": float(rmse), "rmse_mean_predictor": baseline, "features": features, "rows_without_label": s["unlabelled"],

@@ -11,3 +11,24 @@ def test_train_and_score(spark, sf_small):
     assert scored.count() == spark.read.parquet(f"{sf_small}/events.parquet").count()
     assert scored.where(F.col("predicted_fare_amount").isNull()).count() == 0
     assert metrics["rmse"] < metrics["rmse_mean_predictor"]
+
+
+def test_rounds_read_a_row_for_equal_features(spark, monkeypatch):
+    """The boosting rounds read rows of distinct binned features, whatever the number of trips; means are learnt."""
+    from types import SimpleNamespace
+
+    from lakelet.ml import model
+
+    read = []
+    real = model.GBTRegressor.fit
+    monkeypatch.setattr(model.GBTRegressor, "fit", lambda self, df, *a: read.append(df.agg(F.count("*"), F.sum("__rows")).first()) or real(self, df, *a))
+    rows = [(i % 7 if i % 11 else None, 0.5 * (i % 3), 10.0 * (i % 7) + (i % 2)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "zip int, share double, fare double")
+    fitted, metrics = model.train_regressor(SimpleNamespace(label="fare", df=df, load_df=lambda: df), max_iter=5)
+    assert read[0][0] <= 24 < read[0][1]
+    assert 600 < read[0][1] < 850  # every training row counts
+    assert metrics["rmse"] < 0.7 * metrics["rmse_mean_predictor"]
+    wide = spark.createDataFrame([(i * 1.0, i // 500 * 10.0) for i in range(1000)], "x double, fare double")
+    fitted, metrics = model.train_regressor(SimpleNamespace(label="fare", df=wide, load_df=lambda: wide), max_iter=5)
+    assert read[1][0] <= model.BINS + 1 and metrics["rmse"] < 2
+    assert fitted.transform(spark.createDataFrame([(None,), (-5.0,), (5000.0,)], "x double")).where("prediction IS NOT NULL").count() == 3
