@@ -13,7 +13,9 @@ Candidates are confirmed on the full shingle sets.  Three kinds are used one aft
    costs a few pairs a document, not all pairs;
 2. every document with its ``near`` predecessors of the order, longest common prefix first, but only
    where the first links left the two in different components: the scan knows the components, so a
-   group that hangs together by its leaders makes no rows of pairs here;
+   group that hangs together by its leaders makes no rows of pairs here; in a region of more than
+   ``near`` + 1 documents, which the third pass compares in full, only with ``FEW`` predecessors, that
+   what hangs together mostly does so before;
 3. every pair of classes, still in different components, that shares a region of more classes than
    the neighbours reach (``_crowded``).
 
@@ -47,6 +49,8 @@ _MUL = (_rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint64) | 1).astype(np
 _ADD = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint64).astype(np.uint32)
 #: shingles whose minhash products are held at a time
 BLOCK = 512
+#: neighbours compared in a region that they cannot settle
+FEW = 2
 #: shingles in a block of sets compared as a whole, and columns of the matrices held at a time
 CROWD_SHINGLES, CROWD_COLUMNS = 1 << 16, 4096
 
@@ -151,8 +155,9 @@ def _scan(rows: Iterator[Row], min_depth: int, near: int, crowd: int, leaders: b
         if leaders:
             yield from close(region, min_depth)
             return
+        reach = near if len(region) <= near + 1 else min(near, FEW)
         for i, (_, key, root) in enumerate(region):
-            for j in range(max(0, i - near), i):
+            for j in range(max(0, i - reach), i):
                 if region[j][2] != root:
                     yield min(key, region[j][1]), max(key, region[j][1])
 

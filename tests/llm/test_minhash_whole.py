@@ -65,3 +65,28 @@ def test_a_group_linked_by_its_leaders_makes_no_neighbour_pairs(spark, monkeypat
     assert {(r.component_id, r.kept) for r in got} == {(0, True), (0, False)}
     by = dict(made)
     assert by[True] > 0 and by[False] == 0
+
+
+def test_a_crowd_without_links_makes_few_neighbour_pairs(spark, monkeypatch):
+    """Copies that are near, but under the threshold: the third pass compares them, the scan makes no eight rows each."""
+    words = [f"w{k}" for k in range(60)]
+    draw = random.Random(8)
+    texts = {}
+    for i in range(300):
+        own = list(words)
+        for k in draw.sample(range(60), 4):
+            own[k] = f"x{i}y{k}"
+        texts[i] = " ".join(own)
+    made = []
+    real = minhash.map_arrow
+
+    def counted(df, fn, schema):
+        out = real(df, fn, schema)
+        if fn.__qualname__ == "_candidates.<locals>.run":
+            made.append(out.where("a IS NOT NULL").count())
+        return out
+
+    monkeypatch.setattr(minhash, "map_arrow", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), width=2).collect()}
+    assert got == exact_components(texts, 2)
+    assert len(made) == 2 and made[1] <= minhash.TREES * len(texts) * (minhash.FEW + 0.5)
