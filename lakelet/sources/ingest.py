@@ -101,17 +101,49 @@ def _unknown(text: Column, kind: T.DataType, path: Column) -> Column | None:
     return None
 
 
-def _json_lines(df: DataFrame, schema: T.StructType) -> list[Column]:
-    """The fields of JSON lines in ``value``, and what the schema has no place for at any depth, by path."""
-    corrupt = "__corrupt"
+def _colons(text: Column) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(":"), F.lit("")))
+
+
+def _known_colons(value: Column, kind: T.DataType) -> Column | None:
+    """Colons that a JSON text needs for what was read from it: one for each member that is not null, and those in
+    texts; None for types that need none."""
+    if isinstance(kind, T.StructType):
+        total = F.lit(0)
+        for f in kind.fields:
+            inner = _known_colons(value[f.name], f.dataType)
+            total = total + F.when(value[f.name].isNotNull(), F.lit(1) if inner is None else inner + 1).otherwise(0)
+        return total
+    if isinstance(kind, T.ArrayType):
+        if _known_colons(value, kind.elementType) is None:
+            return None
+        return F.aggregate(value, F.lit(0), lambda n, x: n + F.coalesce(_known_colons(x, kind.elementType), F.lit(0)))
+    if isinstance(kind, T.MapType):
+        members = _known_colons(F.map_values(value), T.ArrayType(kind.valueType))
+        return F.size(value) if members is None else F.size(value) + members
+    return _colons(value) if isinstance(kind, T.StringType) else None
+
+
+def _json_lines(lines: DataFrame, schema: T.StructType, *origin: Column) -> DataFrame:
+    """``origin``, the fields of JSON lines in ``value``, and what the schema has no place for at any depth, by path.
+
+    The search for such members reads a line several times, so most lines are spared it: each member takes a colon
+    of the line, and where what was read accounts for all of them (without escapes, a colon is written as itself),
+    there is no other member.  Lines with null or double members or escapes are searched.
+    """
+    corrupt, read = "__corrupt", "__row"
     full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    row = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    # a step of its own, so that each line is parsed once
+    parsed = lines.select(*origin, "value", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias(read))
+    row = F.col(read)
+    whole = ~F.contains("value", F.lit("\\")) & (_colons(F.col("value")) == _known_colons(row, schema))
     unknown = _unknown(F.col("value"), schema, F.lit(""))
     # a member may stand twice in an object: the last one counts, as for known members
     last = F.aggregate(unknown, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
                        lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["path"]), F.create_map(e["path"], e["value"])))
-    rescued = F.when(row[corrupt].isNotNull(), F.col("value")).when(F.size(unknown) > 0, F.to_json(last))
-    return [*[row[n].alias(n) for n in schema.fieldNames()], rescued.alias(RESCUED)]
+    rescued = F.when(row[corrupt].isNotNull(), F.col("value")).when(whole, None).when(F.size(unknown) > 0, F.to_json(last))
+    fields = [row[n].alias(n) for n in schema.fieldNames()]
+    return parsed.select(*[c for c in parsed.columns if c not in ("value", read)], *fields, rescued.alias(RESCUED))
 
 
 def incremental_source(
@@ -140,7 +172,7 @@ def incremental_source(
     origin = [F.current_timestamp().alias("receipt_time"), F.col("_metadata.file_path").alias("source_file")] if provenance else []
     if fmt == "json":
         lines = r.text(path)
-        return lines.where(F.length(F.trim("value")) > 0).select(*origin, *_json_lines(lines, schema))
+        return _json_lines(lines.where(F.length(F.trim("value")) > 0), schema, *origin)
     if fmt == "csv":
         full = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
         r = r.option("header", str(header).lower()).option("enforceSchema", "false").option("columnNameOfCorruptRecord", RESCUED)

@@ -467,3 +467,62 @@ def test_new_members_at_any_depth_are_kept(spark):
     kept = {r[RESCUED] for r in rows}
     assert {text[3], '{"id": 6', "[1]"} <= kept  # wrong types and broken lines whole
     assert p.events().first().metrics_json == '{"rows_rescued": 5}'
+
+
+def test_lines_of_known_members_are_not_searched(spark, monkeypatch):
+    """SC4: a line whose colons are all accounted for by what was read from it has no other member to look for."""
+    from pyspark.sql import types as T
+
+    from lakelet.sources import ingest
+    from lakelet.streaming.pipeline import Dataset, Pipeline
+
+    def searched(text, kind, path):
+        at = F.raise_error(F.concat(F.lit("searched: "), text)).cast("string")
+        return F.array(F.struct(at.alias("path"), at.alias("value")))
+
+    monkeypatch.setattr(ingest, "_unknown", searched)
+    run = new_run_dir(spark, "test-known")
+    text = ['{"id": 1, "name": "a: b", "items": [{"k": 1, "t": ["x:y"]}, {}], "extra": {"u": {"m": ":"}}}', '{"items": [], "name": {"a": 1}}', '{"id": "x", "new": 1}']
+    spark.createDataFrame([(t,) for t in text], "value string").coalesce(1).write.text(f"{run}/src")
+    schema = T.StructType.fromDDL("id long, name string, items array<struct<k:int,t:array<string>>>, extra map<string,struct<m:string>>")
+    p = Pipeline(spark, "t", f"{run}/s", [Dataset("raw", lambda p: ingest.incremental_source(spark, "json", f"{run}/src", schema))])
+    p.run()
+    assert {(r.id, r.name, r[ingest.RESCUED]) for r in p.read("raw").collect()} == {(1, "a: b", None), (None, '{"a":1}', None), (None, None, text[2])}
+
+
+def test_sparing_the_search_loses_no_member(spark):
+    """SC4: random lines with new, double and null members, colons, quotes and escapes: as the search alone finds."""
+    import json
+    import random
+
+    from pyspark.sql import types as T
+
+    from lakelet.sources import ingest
+
+    rnd = random.Random(5)
+    texts = ["", ":", "a:b", 'q"::', "\\", "é:", "null"]
+    names = ["id", "name", "items", "extra", "box", "new", "a:b", ""]
+
+    def value(depth):
+        kind = rnd.random()
+        if depth and kind < 0.35:
+            pairs = [(rnd.choice(["k", "t", "m", "u", "new", "k:"]), value(depth - 1)) for _ in range(rnd.randint(0, 3))]
+            return "{" + ", ".join(f"{json.dumps(n)}: {v}" for n, v in pairs) + "}"
+        if depth and kind < 0.6:
+            return "[" + ",".join(value(depth - 1) for _ in range(rnd.randint(0, 3))) + "]"
+        return rnd.choice(["1", "2.5", "null", "true", json.dumps(rnd.choice(texts), ensure_ascii=rnd.random() < 0.5)])
+
+    good = ['"id": 1', '"name": "a:b"', '"items": [{"k": 1, "t": [":"]}]', '"extra": {"u": {"m": "x"}}', '"box": {"k": 2}', '"id": null', '"new": 1', '"new": "\\u003a"']
+    lines = []
+    for _ in range(3000):
+        parts = [rnd.choice(good) if rnd.random() < 0.85 else f"{json.dumps(rnd.choice(names))}: {value(3)}" for _ in range(rnd.randint(0, 5))]
+        line = "{" + ", ".join(parts) + "}" + rnd.choice([""] * 8 + ["}", ' {"x": 1}'])
+        lines.append(line.replace('"', "'") if rnd.random() < 0.05 else line)
+    schema = T.StructType.fromDDL("id long, name string, items array<struct<k:int,t:array<string>>>, extra map<string,struct<m:string>>, box struct<k:int,t:map<string,string>>")
+    df = spark.createDataFrame([(t,) for t in lines], "value string").repartition(4)
+    read = ingest._json_lines(df, schema, F.col("value").alias("line"))
+    found = ingest._unknown(F.col("line"), schema, F.lit(""))
+    rows = read.select("line", ingest.RESCUED, F.size(found).alias("n")).collect()
+    assert len(rows) == 3000 and 500 < sum(r.n > 0 for r in rows) < 2500
+    assert not [r.line for r in rows if (r[ingest.RESCUED] is not None) != (r.n > 0) and r[ingest.RESCUED] != r.line]
+    assert not [r.line for r in rows if r.n > 0 and r[ingest.RESCUED] is None]
