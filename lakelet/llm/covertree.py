@@ -30,6 +30,8 @@ from lakelet.llm import vectors
 from lakelet.llm.ann import valid
 
 LEAF = 24
+AHEAD = 64  # centres whose distances are worked out together at most
+CELLS = 1 << 19  # bounds worked out together
 EXACT = float(1 << 53)
 
 
@@ -48,13 +50,13 @@ def cover_tree(x: np.ndarray) -> Tree:
     """Cover tree over the rows of x (breadth first, so that siblings stand together)."""
     square = np.einsum("nd,nd->n", x, x)
 
-    def distances(c: int, points: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(square[points] + square[c] - 2 * (x[points] @ x[c]), 0))
+    def distances(centers: np.ndarray, points: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(square[points] + square[centers, None] - 2 * (x[centers] @ x[points].T), 0))
 
     n = len(x)
     everyone = np.arange(n)
-    root = int(np.argmin(distances(0, everyone))) if n else 0
-    d = distances(root, everyone)
+    root = int(np.argmin(distances(everyone[:1], everyone))) if n else 0
+    d = distances(np.array([root]), everyone)[0]
     order = everyone.copy()
     lo, hi, center, radius, child_lo, child_hi = [0], [n], [root], [float(d.max())], [0], [0]
     dist = d.copy()  # of each place in ``order`` to the centre of its node
@@ -66,26 +68,32 @@ def cover_tree(x: np.ndarray) -> Tree:
             points, own = order[a:b].copy(), dist[a:b].copy()
             scale = radius[node] / 2
             # greedy net: each centre takes the points within the scale; the node's centre comes first
-            left, left_d, c = points, own, center[node]
-            at = a
+            left, heads, left_d = points, np.array([center[node]]), own[None]
+            at, ahead = a, 1
             while len(left):
-                near = left_d <= scale
-                if not near.any():
-                    near[0] = True
-                took, took_d = left[near], left_d[near]
-                order[at:at + len(took)], dist[at:at + len(took)] = took, took_d
-                lo.append(at)
-                hi.append(at + len(took))
-                center.append(c)
-                radius.append(float(took_d.max()))
-                child_lo.append(0)
-                child_hi.append(0)
-                at += len(took)
-                left = left[~near]
-                if len(left):
-                    c = int(left[0])
-                    left_d = distances(c, left)
-                    left_d[0] = 0.0
+                free, made = np.ones(len(left), dtype=bool), len(lo)
+                for i, (c, c_d) in enumerate(zip(heads.tolist(), left_d)):
+                    if at > a and not free[i]:  # an earlier centre took it
+                        continue
+                    near = free & (c_d <= scale)
+                    if not near.any():
+                        near[i] = True
+                    took, took_d = left[near], c_d[near]
+                    order[at:at + len(took)], dist[at:at + len(took)] = took, took_d
+                    lo.append(at)
+                    hi.append(at + len(took))
+                    center.append(c)
+                    radius.append(float(took_d.max()))
+                    child_lo.append(0)
+                    child_hi.append(0)
+                    at += len(took)
+                    free &= ~near
+                left = left[free]
+                # the next centres are the first of what is left, unless one of them takes another
+                ahead = min(AHEAD, 2 * max(1, len(lo) - made))
+                heads = left[:ahead]
+                left_d = distances(heads, left)
+                left_d[np.arange(len(heads)), np.arange(len(heads))] = 0.0
             child_hi[node] = len(lo)
             if child_hi[node] - child_lo[node] == 1:  # nothing parted: a leaf after all
                 del lo[-1], hi[-1], center[-1], radius[-1], child_lo[-1], child_hi[-1]
@@ -108,17 +116,19 @@ class DualSearch:
         # rounding of the bound: relative to the largest product
         self.slack = 1e-9 * (1.0 + float(self.x_norm.max(initial=0) + xt.radius[0]) * float(self.q_norm.max(initial=0) + qt.radius[0]))
 
-    def bounds(self, group: int, nodes: np.ndarray) -> np.ndarray:
-        c = self.q[self.qt.center[group]]
-        rq, rd = self.qt.radius[group], self.xt.radius[nodes]
-        return self.x[self.xt.center[nodes]] @ c + self.q_norm[group] * rd + self.x_norm[nodes] * rq + rq * rd + self.slack
+    def bounds(self, groups: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """A row of bounds for each query node."""
+        rq, rd = self.qt.radius[groups, None], self.xt.radius[nodes]
+        out = self.q[self.qt.center[groups]] @ self.x[self.xt.center[nodes]].T
+        return out + self.q_norm[groups, None] * rd + self.x_norm[nodes] * rq + rq * rd + self.slack
 
     def worst(self, group: int) -> float:
         return float(self.score[self.qt.order[self.qt.lo[group]:self.qt.hi[group]], -1].min())
 
     def run(self) -> None:
         if len(self.q) and len(self.x):
-            self.visit(0, np.zeros(1, dtype=np.int64))
+            root = np.zeros(1, dtype=np.int64)
+            self.visit(0, root, self.bounds(root, root)[0])
 
     def opened(self, nodes: np.ndarray) -> np.ndarray:
         """Inner nodes replaced by their children."""
@@ -128,33 +138,37 @@ class DualSearch:
         kids = np.arange(int(n.sum())) + np.repeat(lo[inner] - (np.cumsum(n) - n), n)
         return np.concatenate([nodes[~inner], kids])
 
-    def visit(self, group: int, nodes: np.ndarray) -> None:
-        nodes = nodes[self.bounds(group, nodes) >= self.worst(group)]
+    def visit(self, group: int, nodes: np.ndarray, bound: np.ndarray) -> None:
+        """``nodes`` with their bounds for the query node ``group``."""
+        live = bound >= self.worst(group)
+        nodes, bound = nodes[live], bound[live]
         if not len(nodes):
             return
-        kids = range(self.qt.child_lo[group], self.qt.child_hi[group])
+        kids = np.arange(self.qt.child_lo[group], self.qt.child_hi[group])
         if len(kids):
             nodes = self.opened(nodes)
-            for kid in kids:
-                self.visit(kid, nodes)
+            step = max(1, CELLS // len(nodes))
+            for lo in range(0, len(kids), step):
+                part = kids[lo:lo + step]
+                for kid, row in zip(part.tolist(), self.bounds(part, nodes)):
+                    self.visit(kid, nodes, row)
             return
         while (self.xt.child_hi[nodes] > self.xt.child_lo[nodes]).any():
             nodes = self.opened(nodes)
-            nodes = nodes[self.bounds(group, nodes) >= self.worst(group)]
-        bound = self.bounds(group, nodes)
-        by = np.argsort(-bound, kind="stable")
-        nodes, bound = nodes[by], bound[by]
+            bound = self.bounds(np.array([group]), nodes)[0]
+            live = bound >= self.worst(group)
+            nodes, bound = nodes[live], bound[live]
         mine = self.qt.order[self.qt.lo[group]:self.qt.hi[group]]
-        points_to = np.cumsum(self.xt.hi[nodes] - self.xt.lo[nodes])
-        at, chunk = 0, 64  # points scored at a time, more and more as the best bounds go first
-        while at < len(nodes) and bound[at] >= self.worst(group):
-            end = max(at + 1, int(np.searchsorted(points_to, (points_to[at - 1] if at else 0) + chunk)))
-            part = nodes[at:end][bound[at:end] >= self.worst(group)]
+        some = 16  # leaves scored at a time, more and more as the best bounds go first
+        while len(nodes):
+            by = np.argpartition(-bound, some - 1) if len(nodes) > some else np.arange(len(nodes))
+            part, rest = nodes[by[:some]], by[some:]
             n = self.xt.hi[part] - self.xt.lo[part]
             points = self.xt.order[np.arange(int(n.sum())) + np.repeat(self.xt.lo[part] - (np.cumsum(n) - n), n)]
             self.take(mine, points)
-            at = end
-            chunk = min(2 * chunk, 4096)
+            rest = rest[bound[rest] >= self.worst(group)]
+            nodes, bound = nodes[rest], bound[rest]
+            some = min(2 * some, 1024)
 
     def take(self, mine: np.ndarray, points: np.ndarray) -> None:
         s = self.q[mine] @ self.x[points].T

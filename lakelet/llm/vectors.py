@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from lakelet.llm.common import stored
 
+#: blocks of queries that share one copy of a shard in a task
+BLOCKS = 8
 INDEX_SCHEMA = "dim int, shard int, ids array<array<long>>, data binary, index binary"
 
 
@@ -71,25 +73,29 @@ def best(index: DataFrame, queries: DataFrame, k: int, dtype: type, block_rows:
     dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     packed = stored(dealt.groupBy("dim", "block").applyInArrow(pack, "dim int, block int, query_ids array<long>, queries binary"), label + "-blocks")
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(asked: pa.Table, shard: pa.Table) -> pa.Table:
         q_out, v_out, s_out = [], [], []
-        for r in table.to_pylist():  # one: a block and a shard
-            x = np.frombuffer(r["data"], dtype=dtype).reshape(-1, r["dim"])
-            q = np.frombuffer(r["queries"], dtype=dtype).reshape(-1, r["dim"])
-            for own, found in zip(r["query_ids"], search(q, x, r["ids"], r["index"])):
-                rows = sorted((-s, i) for c, s in found for i in r["ids"][c] if i != own)[:k]
-                q_out += [own] * len(rows)
-                v_out += [i for _, i in rows]
-                s_out += [-s for s, _ in rows]
+        for d in shard.to_pylist():  # one, or none where no vector has this shard number
+            x = np.frombuffer(d["data"], dtype=dtype).reshape(-1, d["dim"])
+            for r in asked.to_pylist():  # a block each
+                q = np.frombuffer(r["queries"], dtype=dtype).reshape(-1, d["dim"])
+                for own, found in zip(r["query_ids"], search(q, x, d["ids"], d["index"])):
+                    rows = sorted((-s, i) for c, s in found for i in d["ids"][c] if i != own)[:k]
+                    q_out += [own] * len(rows)
+                    v_out += [i for _, i in rows]
+                    s_out += [-s for s, _ in rows]
         return pa.table({"query_id": pa.array(q_out, pa.int64()), "vec_id": pa.array(v_out, pa.int64()),
                          "score": pa.array(s_out, pa.float64() if score_type == "double" else pa.int64())})
 
     # every block of the stated query set meets every shard: a row of each block for each shard (a row per
-    # vector length tells how many), joined on the shard, so tasks follow the shards
-    shards = index.groupBy("dim").agg(F.max("shard").alias("last"))
-    spread = packed.join(shards, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
-    pairs = spread.join(index, ["dim", "shard"])
-    found = pairs.groupBy("dim", "shard", "block").applyInArrow(run, f"query_id long, vec_id long, score {score_type}")
+    # vector length tells how many), and a row of each shard for each run of blocks.  They meet by cogrouping:
+    # a join would rate the rows of blocks by the size of ``packed`` alone and send all of them to the driver
+    last = index.groupBy("dim").agg(F.max("shard").alias("last"))
+    spread = packed.join(F.broadcast(last), "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
+    asked = spread.withColumn("run", (F.col("block") / BLOCKS).cast("int"))
+    shards = index.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit((blocks - 1) // BLOCKS))))
+    place = ["dim", "shard", "run"]
+    found = asked.groupBy(*place).cogroup(shards.groupBy(*place)).applyInArrow(run, f"query_id long, vec_id long, score {score_type}")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -36,3 +36,12 @@ def test_searches_over_shards_and_blocks(spark, broadcast):
         assert all(abs(s - cosine[ids[others] == i][0]) < 1e-12 for _, i, s in found)
         hit += len(best & {i for _, i, _ in found})
     assert hit >= 0.9 * 5 * (ids % 5 == 0).sum()
+
+
+def test_blocks_for_each_shard_are_not_sent_to_the_driver(spark):
+    """Blocks times shards grow with the square of the input; only a row per vector length is broadcast."""
+    rows = read_table(spark, "/root/testdata/sf0.01", "embeddings")
+    for search in (ann.nearest, covertree.top_products):
+        plan = search(rows, rows, k=5, shard_rows=90, block_rows=17)._jdf.queryExecution().sparkPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert len(joins) == 1 and "BroadcastHashJoin [dim#" in joins[0] and "shard#" not in joins[0] and "BuildRight" in joins[0]
