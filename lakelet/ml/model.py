@@ -33,6 +33,9 @@ ROUNDS = 100
 DEPTH = 5
 #: values of a feature that the trees tell apart: Spark's default of ``maxBins``
 BINS = 32
+#: rows of a task of a boosting round: the more are read in about the time it takes to start a task or two, the fewer
+#: are not worth a core of their own
+TASK_ROWS, CORE_ROWS = 100_000, 10_000
 
 _REGISTRY_SCHEMA = T.StructType(
     [
@@ -106,7 +109,10 @@ def train_regressor(
     vectors = assembler.transform(grouped).select(label, "__rows", "__features").persist()
     gbt = GBTRegressor(labelCol=label, featuresCol="__features", weightCol="__rows", maxIter=max_iter, maxDepth=max_depth, maxBins=BINS, seed=seed)
     try:
-        trees = gbt.fit(vectors)
+        # a round is a job for each level of its tree, so hundreds of jobs follow: their tasks go by the rows there
+        # are, and by the cores for few rows, whatever number of partitions the grouping was dealt to
+        n = vectors.count()
+        trees = gbt.fit(vectors.coalesce(max(1, -(-n // TASK_ROWS), min(spark.sparkContext.defaultParallelism, -(-n // CORE_ROWS)))))
     finally:
         vectors.unpersist()
     model = PipelineModel([*prepared.stages, *cuts, assembler, trees])
